@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkgraph.llm import decontaminate, pii, sentencepiece, toxicity
+from linkgraph.llm import decontaminate, minhash, pii, sentencepiece, toxicity
 from linkgraph.llm.common import scratch, table
 from linkgraph.llm.queries import piece_model
 
@@ -14,6 +14,11 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.reject(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group that links of 0.8 on five-word shingles join."""
+    return minhash.keep_one(docs)
+
+
 def stage_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold ten consecutive words of a benchmark item."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -31,6 +36,7 @@ def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("toxicity", stage_toxicity),
+    ("minhash", stage_near_duplicates),
     ("benchmark", stage_benchmark),
     ("pii", stage_pii),
     ("sentencepiece", stage_tokens),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkgraph.llm import decontaminate, pii, sentencepiece, toxicity, warc
+from linkgraph.llm import decontaminate, embeddings, minhash, ngrams, pii, sentencepiece, substring_dedup, suffix_dedup, toxicity, warc
 from linkgraph.llm.common import table
 
 
@@ -16,10 +16,26 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), digests=True)
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), digests=True)
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), like=minhash.Likeness(words=3, percent=85))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(table(spark, sf_dir, "documents"), piece_model(), digests=True)
 
@@ -29,6 +45,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngrams.score(docs, ngrams.train(docs))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,9 +61,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_warc": op3_warc,
+        "op4_suffix_dedup": op4_suffix_dedup,
+        "op5_minhash": op5_minhash,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_pii": op7_pii,
+        "op8_lm_score": op8_lm_score,
         "op9_decontaminate": op9_decontaminate,
         "op10_toxicity": op10_toxicity,
     }

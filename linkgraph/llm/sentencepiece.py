@@ -11,6 +11,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ from linkgraph.llm.common import arrow_map
 
 SPACE = "▁"
 #: Parts that a worker remembers; when it holds more it forgets all and starts again. Results don't depend on it.
-MEMORY = 300_000
+MEMORY = 800_000
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -103,8 +104,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text, with the end id; null is an empty text."""
-        known = self.known
-        return [[*(i for p in parts for i in known[p]), self.end] for parts in self.parts([t or "" for t in texts])]
+        ids = self.known.__getitem__
+        return [[*chain.from_iterable(map(ids, parts)), self.end] for parts in self.parts([t or "" for t in texts])]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return [self.library.decode(x) for x in ids]
@@ -135,7 +136,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
         counts = pa.array([len(x) for x in ids], pa.int64())
         if digests:
             names_of = enc.__dict__.setdefault("names", [str(i) for i in range(enc.library.get_piece_size())])
-            last = [pa.array([hashlib.sha256(" ".join([names_of[i] for i in x]).encode()).hexdigest() for x in ids], pa.string()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())]
+            last = [pa.array([hashlib.sha256(" ".join(map(names_of.__getitem__, x)).encode()).hexdigest() for x in ids], pa.string()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())]
         else:
             last = [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
         return pa.RecordBatch.from_arrays([batch.column(0), counts, *last], names=names)
