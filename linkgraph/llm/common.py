@@ -11,12 +11,15 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+#: Rows that Spark hands to Python at a time; whole documents make large rows.
+ARROW_ROWS = 1000
 U64 = np.uint64
 
 
@@ -41,11 +44,29 @@ def cut(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared folder; its lineage ends there, so a lost executor costs a read."""
     shared_dir(df.sparkSession)
     out = df.checkpoint()
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()  # frees the shuffle files that only the lineage held
+    release(df.sparkSession)
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes what was written below path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def saved(df: DataFrame, path: str) -> DataFrame:
+    """df, written as Parquet in the shared folder and read again."""
+    df.write.parquet(path)
+    release(df.sparkSession)
+    return df.sparkSession.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -64,9 +85,16 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Iter
                 else:
                     yield from out
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Holds the session to ARROW_ROWS rows a batch."""
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces whose strings have about limit bytes; a longer text is a piece of its own."""
     n = batch.num_rows
@@ -181,6 +209,31 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (w - span)], x[w - span :]) if w > span else x
 
 
+#: Bits of the filter that tells which rows can have a partner in a join; its size is fixed, whatever the tables'.
+FILTER_BITS = 22
+
+
+def may_match(df: DataFrame, key: str, partners: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """df in two parts: rows whose key (a long, not null) may be among partners' column of that name, and those whose key isn't.
+
+    For joins of long texts with few rows: the second part needn't move. All of partners' keys go into the filter.
+    """
+    spark = df.sparkSession
+    size = 1 << FILTER_BITS
+    hit = partners.select(F.pmod(F.xxhash64(key), F.lit(size)).cast("int").alias("h")).distinct().toArrow()["h"].to_numpy()
+    bits = np.zeros(size, bool)
+    bits[hit] = True
+    sent = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
+
+    @F.pandas_udf("boolean")
+    def may(h: pd.Series) -> pd.Series:
+        at = h.to_numpy()
+        return pd.Series((np.frombuffer(sent.value, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    marked = df.withColumn("_may", may(F.pmod(F.xxhash64(key), F.lit(size)).cast("int")))
+    return marked.filter("_may").drop("_may"), marked.filter("not _may").drop("_may")
+
+
 def doc_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id and text as (_id, _text, _key); _key tells rows of one id but different texts apart, and is never null."""
     return df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).withColumn("_key", F.xxhash64(F.col("_id"), F.col("_text")))

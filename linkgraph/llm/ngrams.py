@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkgraph.llm import eliasfano
-from linkgraph.llm.common import U64, cut, scratch, slices, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import U64, cut, scratch, slices, small_batches, text_bytes, word_hashes, words_of
 from linkgraph.llm.warc import file_system
 
 #: The hash that stands for a text's end.
@@ -168,6 +168,7 @@ def counted(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], bounds:
         if keys:
             yield close()
 
+    small_batches(texts.sparkSession)
     moved = texts.mapInArrow(count, "range int, block binary").repartition(max(1, len(bounds)), "range").sortWithinPartitions("range")
     return cut(moved.mapInArrow(gather, "range int, path string, first long, n long, total long"))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import BYTE, U64, arrow_map, mix, prefix_sums, range_hash, sliding_min, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import BYTE, U64, arrow_map, may_match, mix, prefix_sums, range_hash, sliding_min, text_bytes, word_hashes, words_of
 
 _PLACE = U64((1 << 24) - 1)
 _BLOCK = 1 << 22
@@ -121,27 +121,32 @@ def occurrences(docs: DataFrame, unit: Unit) -> DataFrame:
     return arrow_map(docs.select("_id", "_text", "_key"), run, f"anchor long, digest long, _id {dict(docs.dtypes)['_id']}, _key long, first int, last int")
 
 
-def with_wanted(docs: DataFrame, wanted: DataFrame, f: Callable[[Symbols, Bundles, np.ndarray, np.ndarray], list[pa.Array]], columns: str, unit: Unit) -> DataFrame:
-    """f's rows for the bundles that wanted (_id, _key, first) names, from the texts of their documents.
+def with_wanted(docs: DataFrame, wanted: DataFrame, on: str, f: Callable[[Symbols, Bundles, np.ndarray], list[pa.Array]], columns: str, unit: Unit) -> DataFrame:
+    """f's rows for the bundles that wanted (on, anchor, digest) names, from the texts of the documents whose column `on` it names.
 
-    f gets the slice's symbols and bundles, the wanted ones among them, and the row of each; its arrays
-    have a row for each of its results, the first being the row of docs. The documents without a wanted
-    bundle are left out before their texts move.
+    f gets the slice's symbols, its wanted bundles and the row of each; its arrays have a row for each
+    of its results, the first being the row of docs. Other documents' texts don't move.
     """
-    listed = wanted.groupBy("_id", "_key").agg(F.sort_array(F.collect_set("first")).alias("firsts"))
-    joined = docs.select("_id", "_key", "_text").join(listed, ["_id", "_key"])
+    listed = wanted.groupBy(on).agg(F.collect_list(F.struct("anchor", "digest")).alias("wanted"))
+    few = docs.select("_id", "_key", "_text")
+    if on == "_key":
+        few, _ = may_match(few, "_key", wanted)
+    else:
+        few, _ = may_match(few.withColumn("_h", F.xxhash64("_id")), "_h", wanted.select(F.xxhash64("_id").alias("_h")))
+    joined = few.join(listed, on).select("_id", "_key", "_text", "wanted")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = symbols(batch.column(2), unit)
         b = bundles(s, unit)
-        firsts = batch.column(3)
-        row = np.repeat(np.arange(batch.num_rows), np.diff(firsts.offsets.to_numpy()))
-        lo, hi = firsts.offsets[0].as_py(), firsts.offsets[batch.num_rows].as_py()
-        at = firsts.values.slice(lo, hi - lo).to_numpy() + s.first[row]
-        k = np.searchsorted(b.first, at)
-        ok = k < len(b.first)
-        ok[ok] = b.first[k[ok]] == at[ok]
-        of, *cols = f(s, b, k[ok], row[ok])
+        lists = batch.column(3)
+        off = lists.offsets.to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(off))
+        anchor, digest = (lists.values.field(k).to_numpy()[off[0] : off[-1]].view(U64) for k in range(2))
+        own = s.doc[b.first]
+        near = np.flatnonzero(np.isin(b.anchor ^ mix(own.astype(U64)), anchor ^ mix(row.astype(U64))))
+        b, own = Bundles(b.anchor[near], b.place[near], b.first[near], b.last[near]), own[near]
+        same = np.flatnonzero(np.isin(mix(b.anchor ^ mix(own.astype(U64))) ^ digests(s, b, unit).view(U64), mix(anchor ^ mix(row.astype(U64))) ^ digest))
+        of, *cols = f(s, Bundles(b.anchor[same], b.place[same], b.first[same], b.last[same]), own[same])
         return pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *cols], names=["_id", "_key", *(c.split()[0] for c in columns.split(", "))])
 
     return arrow_map(joined, run, f"_id {dict(docs.dtypes)['_id']}, _key long, {columns}")
@@ -155,7 +160,9 @@ def cover(docs: DataFrame, spans: DataFrame, unit: Unit, id_col: str, digests_on
     concatenated, so that a character may be cut).
     """
     listed = spans.groupBy("_id", "_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    joined = docs.select("_id", "_key", "_text").join(listed.withColumnRenamed("_id", "_i").withColumnRenamed("_key", "_k"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_text", "spans")
+    listed = listed.withColumnRenamed("_id", "_i").withColumnRenamed("_key", "_k")
+    some, none = may_match(docs.select("_id", "_key", "_text"), "_key", spans)
+    joined = some.join(listed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_text", "spans").unionByName(none.select("_id", "_text", F.lit(None).cast("array<struct<first:int,last:int>>").alias("spans")))
     word = unit.kind == "word"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -170,7 +177,7 @@ def cover(docs: DataFrame, spans: DataFrame, unit: Unit, id_col: str, digests_on
             words = raw.split() if word else raw
             n, gone, runs = len(words), 0, 0
             a, b = off[k], off[k + 1]
-            if b > a and lists.is_valid()[k].as_py():
+            if b > a:
                 edge = np.zeros(n + 1, np.int32)
                 np.add.at(edge, first[a:b], 1)
                 np.add.at(edge, last[a:b] + unit.window, -1)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import doc_key, scratch
+from linkgraph.llm.common import doc_key, release, remove, saved, scratch
 from linkgraph.llm.repeats import Bundles, Symbols, Unit, cover, occurrences, window_hashes, with_wanted
 
 WINDOW = 50
@@ -24,7 +24,7 @@ BATCHES = 4
 
 
 class FingerprintIndex:
-    """Runs of (anchor, digest, place: struct of the smallest document with it and where), each sorted by anchor and digest, as Parquet below path."""
+    """Runs of (anchor, digest, _id: the smallest document with them), each sorted by anchor and digest, as Parquet below path."""
 
     def __init__(self, spark: SparkSession, path: str, unit: Unit = UNIT) -> None:
         self.spark, self.path, self.unit = spark, path, unit
@@ -35,6 +35,7 @@ class FingerprintIndex:
         name = f"{self.path}/run-{self.written}"
         self.written += 1
         rows.repartition("anchor").sortWithinPartitions("anchor", "digest").write.parquet(name)
+        release(self.spark)
         return name
 
     def history(self) -> DataFrame | None:
@@ -48,22 +49,24 @@ class FingerprintIndex:
         The rows are _id, _key, first, last: a bundle of an earlier document, or of an earlier one of the batch, has that content.
         """
         name = f"{self.path}/batch-{self.written}"
-        occurrences(batch.filter("_id is not null"), self.unit).write.parquet(name)
-        occ = self.spark.read.parquet(name)
-        run = self.write(occ.groupBy("anchor", "digest").agg(F.min(F.struct("_id", "_key", "first")).alias("place")))
+        occ = saved(occurrences(batch.filter("_id is not null"), self.unit), name)
+        run = self.write(occ.groupBy("anchor", "digest").agg(F.min("_id").alias("_id")))
         self.levels[0].append(run)
-        known = self.history().groupBy("anchor", "digest").agg(F.min("place._id").alias("_min"))
+        known = self.history().groupBy("anchor", "digest").agg(F.min("_id").alias("_min"))
         hits = occ.join(known, ["anchor", "digest"]).filter("_min < _id").select("_id", "_key", "first", "last")
-        hits.write.parquet(f"{name}-hits")
+        out = saved(hits, f"{name}-hits")
+        remove(self.spark, name)
         self.compact()
-        return self.spark.read.parquet(f"{name}-hits")
+        return out
 
     def compact(self) -> None:
         """Merges the runs of each full level into one of the next."""
         k = 0
         while k < len(self.levels):
             if len(self.levels[k]) >= FAN_OUT:
-                merged = self.write(self.spark.read.parquet(*self.levels[k]).groupBy("anchor", "digest").agg(F.min("place").alias("place")))
+                merged = self.write(self.spark.read.parquet(*self.levels[k]).groupBy("anchor", "digest").agg(F.min("_id").alias("_id")))
+                for old in self.levels[k]:
+                    remove(self.spark, old)
                 self.levels[k] = []
                 if k + 1 == len(self.levels):
                     self.levels.append([])
@@ -76,24 +79,22 @@ class FingerprintIndex:
         docs has the texts of all documents indexed. Each different content is looked at in its smallest
         document only: its other documents have all its windows removed already.
         """
-        best = self.history().groupBy("anchor", "digest").agg(F.min("place").alias("place"))
+        best = self.history().groupBy("anchor", "digest").agg(F.min("_id").alias("_id"))
         mixed = best.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-        wanted = best.join(mixed, "anchor").select("place._id", "place._key", "place.first")
+        wanted = best.join(mixed, "anchor")
         unit = self.unit
 
-        def windows(s: Symbols, b: Bundles, k: np.ndarray, row: np.ndarray) -> list[pa.Array]:
-            n = b.last[k] - b.first[k] + 1
-            starts = np.repeat(b.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        def windows(s: Symbols, b: Bundles, row: np.ndarray) -> list[pa.Array]:
+            n = b.last - b.first + 1
+            starts = np.repeat(b.first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             rows = np.repeat(row, n)
             one, two = window_hashes(s, starts, unit)
             return [pa.array(rows), pa.array(one), pa.array(two), pa.array((starts - s.first[rows]).astype(np.int32))]
 
-        found = with_wanted(docs, wanted, windows, "one long, two long, first int", unit)
-        path = scratch(self.spark, "windows")
-        found.write.parquet(path)
-        found = self.spark.read.parquet(path)
+        found = with_wanted(docs, wanted, "_id", windows, "one long, two long, first int", unit)
+        found = saved(found, scratch(self.spark, "windows"))
         least = found.groupBy("one", "two").agg(F.min("_id").alias("_min"), F.max("_id").alias("_max")).filter("_min < _max").select("one", "two", "_min")
-        return found.join(least, ["one", "two"]).filter("_min < _id").select("_id", "_key", "first", F.col("first").alias("last"))
+        return saved(found.join(least, ["one", "two"]).filter("_min < _id").select("_id", "_key", "first", F.col("first").alias("last")), scratch(self.spark, "verified"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, batches: int = BATCHES) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import U64, cut, doc_key, mix, scratch
+from linkgraph.llm.common import U64, cut, doc_key, mix, remove, saved, scratch, small_batches
 from linkgraph.llm.repeats import Bundles, Symbols, Unit, anchors, cover, occurrences, with_wanted
 
 WINDOW = 200
@@ -144,39 +144,40 @@ def judge(pieces: DataFrame, unit: Unit) -> DataFrame:
         if rows:
             yield flush(rows)
 
+    small_batches(pieces.sparkSession)
     kind = dict(pieces.dtypes)["_id"]
     id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     return pieces.select("route", "_id", "_key", "first", "bytes").repartition("route").sortWithinPartitions("route").mapInArrow(run, f"_id {kind}, _key long, first int, last int")
 
 
 def repeated(rows: DataFrame, unit: Unit = UNIT) -> DataFrame:
-    """The windows of rows (_id, _text, _key) whose string starts anywhere else, as ranges (_id, _key, first, last); rows are numbered, so that equal rows are different places."""
+    """The windows of rows (_id, _text, _key) whose string starts anywhere else, as ranges (_id, _key, first, last)."""
     spark = rows.sparkSession
     path = scratch(spark, "bundles")
-    occurrences(rows, unit).write.parquet(path)
-    occ = spark.read.parquet(path)
-    counted = cut(occ.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_key", "first")).alias("place")).repartition("anchor").filter("true"))
-    whole = occ.join(counted.filter("n > 1").select("anchor", "digest"), ["anchor", "digest"]).select("_id", "_key", "first", "last")
+    occ = saved(occurrences(rows, unit), path)
+    counted = cut(occ.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min("_key").alias("_key")))
+    whole = saved(occ.join(counted.filter("n > 1").select("anchor", "digest"), ["anchor", "digest"]).select("_id", "_key", "first", "last"), scratch(spark, "whole"))
+    remove(spark, path)
     mixed = counted.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor")
-    wanted = counted.join(mixed, "anchor").select("place._id", "place._key", "place.first")
+    wanted = counted.join(mixed, "anchor").select("_key", "anchor", "digest")
 
-    def pieces(s: Symbols, b: Bundles, k: np.ndarray, row: np.ndarray) -> list[pa.Array]:
+    def pieces(s: Symbols, b: Bundles, row: np.ndarray) -> list[pa.Array]:
         # A bundle is cut where the anchor of another choice changes, so that a frequent anchor's contents part by their surroundings.
         second, hashes = anchors(s, unit, seed=0x2545F491)
         change = np.ones(len(second), bool)
         change[1:] = second[1:] != second[:-1]
         change[b.first] = True
         cuts = np.append(np.flatnonzero(change), len(second))
-        lo, hi = np.searchsorted(cuts, b.first[k]), np.searchsorted(cuts, b.last[k], side="right")
+        lo, hi = np.searchsorted(cuts, b.first), np.searchsorted(cuts, b.last, side="right")
         n = hi - lo
         c = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        first, last = cuts[c], np.minimum(cuts[c + 1] - 1, np.repeat(b.last[k], n))
+        first, last = cuts[c], np.minimum(cuts[np.minimum(c + 1, len(cuts) - 1)] - 1, np.repeat(b.last, n))
         rows_of = np.repeat(row, n)
-        route = mix(np.repeat(b.anchor[k], n) ^ mix(hashes[first]))
+        route = mix(np.repeat(b.anchor, n) ^ mix(hashes[first]))
         return [pa.array(rows_of), pa.array(route.view(np.int64)), pa.array((first - s.first[rows_of]).astype(np.int32)), pa.array([s.data[i:j] for i, j in zip(first.tolist(), (last + unit.window).tolist(), strict=True)], pa.binary())]
 
-    found = with_wanted(rows, wanted, pieces, "route long, first int, bytes binary", unit)
-    return whole.unionByName(judge(found, unit))
+    found = with_wanted(rows, wanted, "_key", pieces, "route long, first int, bytes binary", unit)
+    return whole.unionByName(saved(judge(found, unit), scratch(spark, "judged")))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import cut, scratch
+from linkgraph.llm.common import cut, scratch, small_batches
 
 MAGIC = b"\x1f\x8b\x08"
 #: Payloads of fewer bytes are always stored.
@@ -104,6 +104,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", body_col: str =
                     n, size = n + 1, size + len(member)
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64()), pa.array([n], pa.int64())], names=["file", "bytes", "records"])
 
+    small_batches(pages.sparkSession)
     return cut(with_first(pages, id_col, body_col).mapInArrow(run, "file string, bytes long, records long")).filter("records > 0")
 
 
