@@ -7,8 +7,10 @@ merges of the posting lists follow:
 
 - each list's members are held against its smallest; the best match of each document is confirmed on full
   sets, and confirmed links give first components;
-- lists whose members are in one component are skipped; in the others the pairs of different components
-  are counted, list blocks of bounded size against one another, and confirmed likewise.
+- lists whose members are in one component are skipped; in the others the collisions of pairs of different
+  components are counted, list blocks of bounded size against one another, each pair in the first list
+  that it shares, and those above the match threshold confirmed likewise. Pairs don't leave their task:
+  members with a match go on to a second one with their texts, which gives the links that join components.
 
 So every pair that agrees on enough coordinates is confirmed or already joined, and no list's pairs are
 written out. A link of similarity t is missed only if its coordinates fall short by SLACK standard deviations.
@@ -17,19 +19,21 @@ written out. A link of similarity t is missed only if its coordinates fall short
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import U64, arrow_map, cut, doc_key, mix, prefix_sums, range_hash, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import U64, arrow_map, doc_key, may_match, mix, prefix_sums, range_hash, saved, scratch, slices, small_batches, text_bytes, word_hashes, words_of
 from linkgraph.operators.components import connected_components
 
 POSTED = 40
-COORDINATES = 128
+#: All coordinates that are compared; those that aren't posted are kept as eight bits, which can only add agreements.
+COORDINATES = 200
 SLACK = 5.2
 #: Members of a list that are held against as many others at a time.
 BLOCK = 1024
@@ -77,7 +81,7 @@ def shingles(col: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
-    """Per row of docs (_id, _key, _text): _id, _key, n (shingles), d1 and d2 (128 bits of its set), sig (COORDINATES unsigned 32-bit numbers)."""
+    """Per row of docs (_id, _key, _text): _id, _key, n (shingles), d1 and d2 (128 bits of its set), sig (POSTED numbers of 32 bits, then the rest of 8)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, h = shingles(batch.column(2), like.words)
@@ -90,25 +94,36 @@ def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
                 sums[k, some] = np.add.reduceat(mix(h ^ U64(0x1234567 + k)), first)
             for k in range(COORDINATES):
                 sig[some, k] = np.minimum.reduceat((h ^ _C[k]) * _A[k] >> U64(32), first)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), pa.array([r.tobytes() for r in sig], pa.binary())], names=["_id", "_key", "n", "d1", "d2", "sig"])
+        both = np.concatenate([sig[:, :POSTED].view(np.uint8), (sig[:, POSTED:] & np.uint32(255)).astype(np.uint8)], 1)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), pa.array([r.tobytes() for r in both], pa.binary())], names=["_id", "_key", "n", "d1", "d2", "sig"])
 
     return arrow_map(docs.select("_id", "_key", "_text"), run, f"_id {dict(docs.dtypes)['_id']}, _key long, n long, d1 long, d2 long, sig binary")
 
 
-def matrix(col: pa.Array) -> np.ndarray:
+WIDTH = 4 * POSTED + COORDINATES - POSTED
+
+
+def matrix(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The posted coordinates, and the others."""
     raw, _ = text_bytes(col)
-    return raw.view(np.uint32).reshape(len(col), COORDINATES)
+    rows = raw.reshape(len(col), WIDTH)
+    return np.ascontiguousarray(rows[:, : 4 * POSTED]).view(np.uint32), np.ascontiguousarray(rows[:, 4 * POSTED :])
+
+
+def tokens(posted: np.ndarray) -> np.ndarray:
+    return mix((posted.astype(U64) << U64(8)) | np.arange(POSTED, dtype=U64))
 
 
-def tokens(sig: np.ndarray) -> np.ndarray:
-    return mix((sig[:, :POSTED].astype(U64) << U64(8)) | np.arange(POSTED, dtype=U64))
+def are_late(t: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which tokens are among the frequent ones (sorted)."""
+    return hot[np.minimum(np.searchsorted(hot, t), len(hot) - 1)] == t if len(hot) else np.zeros(t.shape, bool)
 
 
 def frequent(reps: DataFrame) -> np.ndarray:
     """Tokens of more than FREQUENT of all, so 1 / FREQUENT of them at most."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        t, n = np.unique(tokens(matrix(batch.column(0))), return_counts=True)
+        t, n = np.unique(tokens(matrix(batch.column(0))[0]), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n)], names=["token", "n"])
 
     total = reps.count() * POSTED
@@ -116,15 +131,12 @@ def frequent(reps: DataFrame) -> np.ndarray:
     return np.sort(got["token"].to_numpy().astype(np.int64).view(U64))
 
 
-def postings(reps: DataFrame, like: Likeness) -> DataFrame:
+def postings(reps: DataFrame, hot: Broadcast[np.ndarray], like: Likeness) -> DataFrame:
     """(token, rep) under the prefix of each document's tokens, frequent ones last."""
-    sent = reps.sparkSession.sparkContext.broadcast(frequent(reps))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        t, hot = tokens(matrix(batch.column(1))), sent.value
-        at = np.minimum(np.searchsorted(hot, t), max(0, len(hot) - 1))
-        late = hot[at] == t if len(hot) else np.zeros(t.shape, bool)
-        order = np.lexsort((t, late), axis=1)[:, : like.prefix]
+        t = tokens(matrix(batch.column(1))[0])
+        order = np.lexsort((t, are_late(t, hot.value)), axis=1)[:, : like.prefix]
         t = np.take_along_axis(t, order, 1)
         return pa.RecordBatch.from_arrays([pa.array(t.ravel().view(np.int64)), batch.column(0).take(pa.array(np.repeat(np.arange(len(t)), t.shape[1])))], names=["token", "rep"])
 
@@ -137,118 +149,228 @@ def agreeing(pairs: DataFrame, like: Likeness) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, y = matrix(batch.column(2)), matrix(batch.column(3))
         na, nb = batch.column(4).to_numpy(), batch.column(5).to_numpy()
-        same = (x == y).sum(1)
+        same = (x[0] == y[0]).sum(1) + (x[1] == y[1]).sum(1)
         keep = pa.array((same >= like.least(COORDINATES)) & (100 * np.minimum(na, nb) >= like.percent * np.maximum(na, nb)))
         return pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(same).filter(keep)], names=["a", "b", "same"])
 
     return arrow_map(pairs.select("a", "b", "sig_a", "sig_b", "n_a", "n_b"), run, f"a {dict(pairs.dtypes)['a']}, b {dict(pairs.dtypes)['a']}, same long")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike; texts (rep, _text) has every document named."""
-    named = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep")
-    both = pairs.join(named.select(F.col("rep").alias("a"), F.col("_text").alias("ta")), "a").join(named.select(F.col("rep").alias("b"), F.col("_text").alias("tb")), "b").select("a", "b", "ta", "tb")
+def by_group(batches: Iterator[pa.RecordBatch], keys: list[str], done: Callable[[pa.Table], pa.RecordBatch | None]) -> Iterator[pa.RecordBatch]:
+    """Gives done the rows of sorted batches, whole groups of equal keys (longs or ints) at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys]
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
+        if held and any(c[0] != held[-1].column(held[-1].schema.get_field_index(k))[held[-1].num_rows - 1].as_py() for k, c in zip(keys, cols, strict=True)):
+            if (out := done(pa.Table.from_batches(held))) is not None:
+                yield out
+            held = []
+        if len(change):
+            last = int(change[-1])
+            if (out := done(pa.Table.from_batches([*held, batch.slice(0, last)]))) is not None:
+                yield out
+            held = [batch.slice(last)]
+        else:
+            held.append(batch)
+    if held and (out := done(pa.Table.from_batches(held))) is not None:
+        yield out
+
+
+def confirm(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], like: Likeness) -> DataFrame:
+    """The pairs (tile, a, b) whose full sets are alike, as (a, b).
+
+    texts gives (rep, _text) of the documents asked for; a document's text goes once to each tile that
+    names it. Tiles must be of bounded size.
+    """
+    needs = pairs.select("tile", F.explode(F.array("a", "b")).alias("rep")).distinct()
+    kind = dict(pairs.dtypes)["a"]
+    sides = needs.join(texts(needs.select("rep").distinct()), "rep").select("tile", F.lit(0).alias("part"), F.col("rep").alias("a"), F.lit(None).cast(kind).alias("b"), "_text").unionByName(pairs.select("tile", F.lit(1).alias("part"), "a", "b", F.lit(None).cast("string").alias("_text")))
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = []
-        for col in (batch.column(2), batch.column(3)):
-            rows, h = shingles(col, like.words)
-            sets.append(np.split(h, np.searchsorted(rows, np.arange(1, len(col)))))
-        keep = []
-        for x, y in zip(*sets, strict=True):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= like.percent * (len(x) + len(y) - both))
-        mask = pa.array(keep, pa.bool_())
-        return pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets = None, {}
+        for whole in batches:
+            for batch in slices(whole):
+                tile, part, a, b = (batch.column(k).to_pylist() for k in range(4))
+                rows, h = shingles(batch.column(4), like.words)
+                own = np.split(h, np.searchsorted(rows, np.arange(1, len(tile))))
+                out = []
+                for k, t in enumerate(tile):
+                    if t != now:
+                        now, sets = t, {}
+                    if part[k] == 0:
+                        sets[a[k]] = own[k]
+                    else:
+                        x, y = sets[a[k]], sets[b[k]]
+                        both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                        if 100 * both >= like.percent * (len(x) + len(y) - both):
+                            out.append(k)
+                at = pa.array(out, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(2).take(at), batch.column(3).take(at)], names=["a", "b"])
+
+    small_batches(pairs.sparkSession)
+    return sides.repartition("tile").sortWithinPartitions("tile", "part").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def agreeing_in(t: pa.Table, hot: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Agreeing pairs (as rows of t) of different components within the groups of a table sorted by token, i, j; and where its groups begin and end.
+
+    A pair counts only in the group of the first token that its members share, in the order of postings.
+    """
+    token, i, j, own, n = (t[c].to_numpy() for c in ("token", "i", "j", "_own", "n"))
+    comp = np.unique(t["comp"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    x = matrix(t["sig"].chunk(0))
+    edges = np.flatnonzero((token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    starts, ends = np.concatenate([[0], edges]), np.append(edges, len(token))
+    group = np.repeat(np.arange(len(starts)), ends - starts)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    least = like.least(COORDINATES)
 
-    kind = dict(pairs.dtypes)["a"]
-    return arrow_map(both, run, f"a {kind}, b {kind}")
+    def test(u: np.ndarray, v: np.ndarray) -> None:
+        keep = (comp[u] != comp[v]) & (100 * np.minimum(n[u], n[v]) >= like.percent * np.maximum(n[u], n[v]))
+        u, v = u[keep], v[keep]
+        for q in range(0, len(u), 1 << 15):
+            a, b = u[q : q + (1 << 15)], v[q : q + (1 << 15)]
+            ok = (x[0][a] == x[0][b]).sum(1) + (x[1][a] == x[1][b]).sum(1) >= least
+            a, b = a[ok], b[ok]
+            if len(a):
+                shared, agreed = tokens(x[0][a]), x[0][a] == x[0][b]
+                late = are_late(shared, hot)
+                rank = np.where(agreed & ~late, shared >> U64(1), np.where(agreed, (shared >> U64(1)) | U64(1 << 63), U64(2**64 - 1)))
+                first = np.take_along_axis(shared, rank.argmin(1)[:, None], 1)[:, 0].view(np.int64)
+                here = first == token[a]
+                found.append((a[here], b[here]))
+
+    small = (ends - starts <= 64)[group]
+    for d in range(1, min(64, int((ends - starts).max(initial=0)))):
+        u = np.flatnonzero(small[:-d] & (group[:-d] == group[d:])) if d < len(group) else np.zeros(0, np.int64)
+        if len(u):
+            test(u, u + d)
+    for g in np.flatnonzero(ends - starts > 64):
+        at = np.arange(starts[g], ends[g])
+        left, right = at[own[at] == i[at[0]]], at[own[at] == j[at[0]]]
+        same = i[at[0]] == j[at[0]]
+        for k in range(0, len(left), 64):
+            u, v = np.repeat(left[k : k + 64], len(right)), np.tile(right, len(left[k : k + 64]))
+            test(*((u[u < v], v[u < v]) if same else (u, v)))
+    u, v = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+    return u, v, starts, ends
 
 
-def across(lists: DataFrame, like: Likeness) -> DataFrame:
-    """Agreeing pairs (a, b) of different components within lists (token, size, rep, comp, n, sig), each pair as often as it is met.
+def across(lists: DataFrame, hot: Broadcast[np.ndarray], like: Likeness) -> DataFrame:
+    """Of lists (token, size, rep, comp, n, sig) the members that agree with one of another component, by group (token, i, j, _own, rep, comp).
 
     A list of more than BLOCK members is dealt out in blocks by rep, and each two blocks meet in a group of their own.
     """
     kind = dict(lists.dtypes)["rep"]
     blocks = lists.withColumn("_of", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_of")).cast("int"))
     dealt = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))).select("token", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "rep", "comp", "n", "sig")
-    least = like.least(COORDINATES)
 
-    def meet(g: pa.Table) -> tuple[list, list]:
-        i, j, own, rep, comp, n = (g[c].to_numpy() for c in ("i", "j", "_own", "rep", "comp", "n"))
-        sig = matrix(g["sig"].combine_chunks() if isinstance(g["sig"], pa.ChunkedArray) else g["sig"])
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
-        for k in range(0, len(left), 64):
-            part = left[k : k + 64]
-            may = (comp[part][:, None] != comp[right][None]) & (100 * np.minimum(n[part][:, None], n[right][None]) >= like.percent * np.maximum(n[part][:, None], n[right][None]))
-            if i[0] == j[0]:
-                may &= part[:, None] < right[None]
-            x, y = np.nonzero(may)
-            for q in range(0, len(x), 1 << 16):
-                u, v = part[x[q : q + (1 << 16)]], right[y[q : q + (1 << 16)]]
-                ok = (sig[u] == sig[v]).sum(1) >= least
-                a.extend(np.minimum(rep[u[ok]], rep[v[ok]]).tolist())
-                b.extend(np.maximum(rep[u[ok]], rep[v[ok]]).tolist())
-        return a, b
+    def done(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        u, v, _, _ = agreeing_in(t, hot.value, like)
+        return t.select(["token", "i", "j", "_own", "rep", "comp"]).take(pa.array(np.unique(np.concatenate([u, v])))).combine_chunks().to_batches(max_chunksize=1 << 30)[0] if len(u) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def done(t: pa.Table) -> pa.RecordBatch:
-            key = np.stack([t["token"].to_numpy(), t["i"].to_numpy(), t["j"].to_numpy()])
-            edges = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
-            out_a, out_b = [], []
-            t = t.combine_chunks()
-            for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), t.num_rows], strict=True):
-                if hi - lo > 1:
-                    a, b = meet(t.slice(lo, hi - lo))
-                    out_a += a
-                    out_b += b
-            both = [*{*zip(out_a, out_b, strict=True)}]
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in both], t.schema.field("rep").type), pa.array([y for _, y in both], t.schema.field("rep").type)], names=["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = [batch.column(c).to_numpy() for c in range(3)]
-            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            if held and any(k[0] != held[-1].column(c)[held[-1].num_rows - 1].as_py() for c, k in enumerate(keys)):
-                yield done(pa.Table.from_batches(held))
-                held = []
-            if len(change):
-                last = int(change[-1])
-                yield done(pa.Table.from_batches([*held, batch.slice(0, last)]))
-                held = [batch.slice(last)]
-            else:
-                held.append(batch)
-        if held:
-            yield done(pa.Table.from_batches(held))
-
-    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+        yield from by_group(batches, ["token", "i", "j"], done)
+
+    small_batches(lists.sparkSession)
+    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, f"token long, i int, j int, _own int, rep {kind}, comp {kind}")
+
+
+def confirm_within(groups: DataFrame, hot: Broadcast[np.ndarray], like: Likeness) -> DataFrame:
+    """Edges (a, b) that join what confirmed links join: of groups (token, i, j, _own, rep, comp, n, sig, _text), whose agreeing pairs are held together on full sets.
+
+    Pairs of components that a link of the group has joined already are passed over, so at most one edge for each member comes out.
+    """
+    kind = dict(groups.dtypes)["rep"]
+
+    def done(t: pa.Table) -> pa.RecordBatch | None:
+        t = t.combine_chunks()
+        u, v, starts, ends = agreeing_in(t, hot.value, like)
+        if not len(u):
+            return None
+        group = np.searchsorted(ends, u, side="right")
+        comp, out = t["comp"].to_numpy(zero_copy_only=False), []
+        for g in np.unique(group):
+            lo, hi = starts[g], ends[g]
+            rows, h = shingles(t["_text"].chunk(0).slice(lo, hi - lo), like.words)
+            codes = np.unique(h, return_inverse=True)[1]
+            off = np.searchsorted(rows, np.arange(hi - lo + 1))
+            by_code = np.argsort(codes, kind="stable")
+            holders, at = rows[by_code], np.searchsorted(codes[by_code], np.arange(codes.max(initial=-1) + 2))
+            root: dict = {}
+
+            def top(c: object, root: dict = root) -> object:
+                while (up := root.get(c, c)) != c:
+                    root[c] = c = root.get(up, up)
+                return c
+
+            own = group == g
+            order = np.argsort(u[own], kind="stable")
+            a, b = u[own][order] - lo, v[own][order] - lo
+            cuts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+            for s, e in zip(cuts, [*cuts[1:], len(a)], strict=True):
+                x, ys = int(a[s]), b[s:e]
+                mine = codes[off[x] : off[x + 1]]
+                n = at[mine + 1] - at[mine]
+                who = holders[np.repeat(at[mine], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                both = np.bincount(who, minlength=hi - lo)[ys]
+                total = len(mine) + off[ys + 1] - off[ys] - both
+                for y in ys[100 * both >= like.percent * total]:
+                    p, q = top(comp[lo + x]), top(comp[lo + y])
+                    if p != q:
+                        root[q] = p
+                        out.append((lo + x, lo + int(y)))
+        one, two = (t["rep"].chunk(0).take(pa.array([o[k] for o in out], pa.int64())) for k in range(2))
+        return pa.RecordBatch.from_arrays([one, two], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from by_group(batches, ["token", "i", "j"], done)
+
+    small_batches(groups.sparkSession)
+    return groups.select("token", "i", "j", "_own", "rep", "comp", "n", "sig", "_text").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def classes(rows: DataFrame, like: Likeness) -> DataFrame:
     """_id, _key, n and component of each of rows (_id, _key, _text); documents without shingles or id are components of their own."""
-    sigs = cut(signatures(rows, like))
+    spark = rows.sparkSession
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return saved(df, scratch(spark, f"minhash-{name}"))
+
+    sigs = keep(signatures(rows, like), "signatures")
     usable = sigs.filter("n > 0 and _id is not null")
-    reps = cut(usable.groupBy("d1", "d2").agg(F.min(F.struct("_id", "_key", "n", "sig")).alias("r")).select("d1", "d2", F.col("r._id").alias("rep"), F.col("r._key").alias("_k"), "r.n", "r.sig"))
-    posted = postings(reps, like)
+    chosen = usable.groupBy("d1", "d2").agg(F.min("_id").alias("rep"))
+    reps = keep(usable.join(chosen, ["d1", "d2"]).filter("_id = rep").dropDuplicates(["d1", "d2"]).select("d1", "d2", "rep", "_key", "n", "sig"), "classes")
+    hot = spark.sparkContext.broadcast(frequent(reps))
+    posted = postings(reps, hot, like)
     sizes = posted.groupBy("token").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).filter("size > 1")
-    lists = cut(posted.join(sizes, "token"))
+    lists = keep(posted.join(sizes, "token"), "lists")
     slim = reps.select("rep", "n", "sig")
+
+    def texts(asked: DataFrame) -> DataFrame:
+        named = asked.join(reps.select("rep", "_key"), "rep")
+        some, _ = may_match(rows, "_key", named)
+        return some.join(named.withColumnRenamed("_key", "_k"), (F.col("_key") == F.col("_k")) & (F.col("_id") == F.col("rep"))).dropDuplicates(["rep"]).select("rep", "_text")
+
     star = lists.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     star = star.join(slim.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b").join(slim.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")
-    best = agreeing(star, like).groupBy("b").agg(F.max_by("a", F.struct("same", "a")).alias("a")).select("a", "b")
-    texts = rows.join(reps.select(F.col("rep").alias("_id"), F.col("_k").alias("_key")), ["_id", "_key"]).select(F.col("_id").alias("rep"), "_text")
-    links = cut(confirm(cut(best), texts, like))
+    best = keep(agreeing(star, like), "star")
+    top = best.groupBy("b").agg(F.max("same").alias("same"))
+    best = best.join(top, ["b", "same"]).groupBy("b").agg(F.min("a").alias("a"))
+    load = best.groupBy("a").agg(F.count("*").alias("k"))
+    tiled = keep(best.join(load, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / BLOCK))).alias("tile"), "a", "b"), "star-tiles")
+    links = keep(confirm(tiled, texts, like), "star-links")
     first = connected_components(links, "a", "b")
-    labelled = lists.filter("size > 2").join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
+    labelled = lists.select("token", "rep").join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
     open_lists = labelled.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token", "size")
-    more = across(labelled.join(open_lists, "token").join(slim, "rep"), like)
-    links = links.unionByName(confirm(cut(more), texts, like))
-    found = connected_components(cut(links), "a", "b")
+    more = keep(across(labelled.join(open_lists, "token").join(slim, "rep"), hot, like), "members")
+    held = more.join(slim, "rep").join(texts(more.select("rep").distinct()), "rep")
+    links = links.unionByName(keep(confirm_within(held, hot, like), "links"))
+    found = connected_components(links, "a", "b")
     named = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.coalesce("component", "rep").alias("component"))
     return sigs.join(named, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & (F.col("n") > 0) & F.col("_id").isNotNull(), "left").select("_id", "_key", "n", F.coalesce("component", "_id").alias("component"))
 
