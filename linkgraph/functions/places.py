@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from linkgraph import vocab
-from linkgraph.functions.text import normalize_text, text_of, tokens
+from linkgraph.functions.text import bound, normalize_text, text_of, tokens
 
 # Fixed value: a UK postcode.
 POSTCODE = r"^([A-Z]{1,2}[0-9][A-Z0-9]?) ([0-9][A-Z]{2})$"
@@ -14,10 +14,11 @@ POSTCODE = r"^([A-Z]{1,2}[0-9][A-Z0-9]?) ([0-9][A-Z]{2})$"
 
 def postcode(c: Column) -> Column:
     """'OUT IN' of a UK postcode, however spaced; '' if it isn't one."""
-    raw = F.upper(F.regexp_replace(text_of(c), r"\s+", ""))
-    n = F.length(raw)
-    spaced = F.concat(F.substring(raw, F.lit(1), n - 3), F.lit(" "), F.substring(raw, n - 2, F.lit(3)))
-    return F.when(n.between(5, 8) & spaced.rlike(POSTCODE), spaced).otherwise("")
+    def spaced(raw: Column) -> Column:
+        n = F.length(raw)
+        return F.when(n.between(5, 8), F.concat(F.substring(raw, F.lit(1), n - 3), F.lit(" "), F.substring(raw, n - 2, F.lit(3)))).otherwise("")
+
+    return bound(bound(F.upper(F.regexp_replace(text_of(c), r"\s+", "")), spaced), lambda p: F.when(p.rlike(POSTCODE), p).otherwise(""))
 
 
 def postcode_district(c: Column) -> Column:
@@ -38,13 +39,16 @@ def address_key(*parts: Column) -> Column:
 
     A stated country behind the postcode hides an address's spaced postcode, as in the registers.
     """
-    words = tokens(join_address(*parts))
+    return bound(tokens(join_address(*parts)), _key_of_words)
+
+
+def _key_of_words(words: Column) -> Column:
     single = F.filter(F.transform(F.reverse(words), postcode), lambda p: p != "")
     pair = postcode(F.when(F.size(words) > 1, F.array_join(F.slice(words, -2, 2), "")).otherwise(""))
     pc = F.when(F.size(single) > 0, F.get(single, 0)).otherwise(pair)
     number = F.coalesce(F.get(F.filter(words, lambda t: t.rlike("^[0-9]+$")), 0), F.lit(""))
     loose = F.array_join(F.slice(F.filter(words, lambda t: ~t.isin(vocab.ADDRESS_STOPWORDS)), 1, 4), " ")
-    return F.when(pc != "", F.concat(number, F.lit("|"), pc)).otherwise(loose)
+    return bound(pc, lambda p: F.when(p != "", F.concat(number, F.lit("|"), p)).otherwise(loose))
 
 
 def country_code(c: Column, aliases: dict[str, str] | None = None) -> Column:
@@ -71,7 +75,9 @@ def is_secrecy(iso: Column) -> Column:
 
 def company_number(c: Column) -> Column:
     """Letters and digits in upper case; digits alone, or behind letters, padded to eight characters in all."""
-    raw = F.regexp_replace(F.upper(text_of(c)), r"[^\p{L}\p{N}]", "")
-    letters, digits = F.regexp_replace(raw, r"[^\p{L}]", ""), F.regexp_replace(raw, "[^0-9]", "")
-    padded = F.concat(letters, F.lpad(digits, F.greatest(F.length(digits), F.lit(8) - F.length(letters)), "0"))
-    return F.when(digits != "", padded).otherwise(raw)
+
+    def padded(raw: Column) -> Column:
+        letters, digits = F.regexp_replace(raw, r"[^\p{L}]", ""), F.regexp_replace(raw, "[^0-9]", "")
+        return F.when(digits != "", F.concat(letters, F.lpad(digits, F.greatest(F.length(digits), F.lit(8) - F.length(letters)), "0"))).otherwise(raw)
+
+    return bound(F.regexp_replace(F.upper(text_of(c)), r"[^\p{L}\p{N}]", ""), padded)

@@ -5,6 +5,7 @@ Absent text is '' throughout: null gives ''.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -19,6 +20,11 @@ _RANKS = vocab.legal_form_ranks()
 _LONGEST_FORM = max(len(k.split()) for k in _RANKS)
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of c, with c computed once however often f names it."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
@@ -50,8 +56,10 @@ def legal_form(c: Column) -> Column:
     Of all forms that stand at either side with another word left, the one of best rank counts, at the
     end before the beginning.
     """
-    norm = normalize_text(c)
-    words = tokens(norm)
+    return bound(tokens(normalize_text(c)), _split_form)
+
+
+def _split_form(words: Column) -> Column:
     n = F.size(words)
     table = F.create_map(*[x for k, (r, t) in _RANKS.items() for x in (F.lit(k), F.struct(F.lit(r).alias("rank"), F.lit(t).alias("tag")))])
     tries = []
@@ -60,7 +68,7 @@ def legal_form(c: Column) -> Column:
             hit = F.try_element_at(table, F.array_join(form, " "))
             tries.append(F.when((n > k) & hit.isNotNull(), F.struct(hit["rank"].alias("rank"), F.lit(side).alias("side"), F.array_join(base, " ").alias("base"), hit["tag"].alias("tag"))))
     best = F.array_min(F.array_compact(F.array(*tries)))
-    return F.struct(F.coalesce(best["base"], norm).alias("base"), F.coalesce(best["tag"], F.lit("")).alias("tag"))
+    return bound(best, lambda b: F.struct(F.coalesce(b["base"], F.array_join(words, " ")).alias("base"), F.coalesce(b["tag"], F.lit("")).alias("tag")))
 
 
 def company_fingerprint(c: Column) -> Column:
@@ -76,12 +84,13 @@ def strip_titles(c: Column) -> Column:
 
 def person_parts(name: Column, forename: Column | None = None, middle: Column | None = None, surname: Column | None = None) -> Column:
     """struct(first, middle, last); a given surname decides, else the name's words do."""
-    words = tokens(strip_titles(name))
-    n = F.size(words)
-    parsed = F.struct(
-        F.when(n > 1, F.element_at(words, 1)).otherwise("").alias("first"),
-        F.when(n > 2, F.array_join(F.slice(words, 2, n - 2), " ")).otherwise("").alias("middle"),
-        F.when(n > 0, F.element_at(words, -1)).otherwise("").alias("last"),
+    parsed = bound(
+        tokens(strip_titles(name)),
+        lambda w: F.struct(
+            F.when(F.size(w) > 1, F.element_at(w, 1)).otherwise("").alias("first"),
+            F.when(F.size(w) > 2, F.array_join(F.slice(w, 2, F.size(w) - 2), " ")).otherwise("").alias("middle"),
+            F.when(F.size(w) > 0, F.element_at(w, -1)).otherwise("").alias("last"),
+        ),
     )
     if surname is None:
         return parsed
@@ -91,7 +100,7 @@ def person_parts(name: Column, forename: Column | None = None, middle: Column |
 
 def person_fingerprint(parts: Column) -> Column:
     """First and last name, sorted as whole strings."""
-    return F.array_join(F.array_sort(F.filter(F.array(parts["first"], parts["last"]), lambda x: x != "")), " ")
+    return bound(parts, lambda p: F.array_join(F.array_sort(F.filter(F.array(p["first"], p["last"]), lambda x: x != "")), " "))
 
 
 def phonetic_key(c: Column) -> Column:

@@ -82,13 +82,11 @@ def build_clusters(records: DataFrame, scores: DataFrame, matcher: str = "rules"
             own = [r for r in rules if r.entity_type == kind]
             broken = conflicts(members.filter(F.col("entity_type") == kind), own).select("component")
             m = members.filter(F.col("entity_type") == kind).join(broken, "component").select("component", "record_id", *(F.col(r.column).cast("string").alias(r.column) for r in own))
-            e = edges.join(parts, edges["left_id"] == parts["record_id"]).join(broken, "component").select("component", "left_id", "right_id", "score")
+            e = edges.join(parts.select(F.col("record_id").alias("left_id"), F.col("component").alias("part")), "left_id").join(broken.select(F.col("component").alias("part")), "part").select(F.col("part").alias("component"), "left_id", "right_id", "score")
 
             def run(left: pd.DataFrame, right: pd.DataFrame, own: list[ConflictRule] = own) -> pd.DataFrame:
-                if not len(left):
-                    return pd.DataFrame({"record_id": [], "cluster": []})
                 got = split_component(left, right, own)
-                return pd.DataFrame({"record_id": list(got), "cluster": list(got.values())})
+                return pd.DataFrame({"record_id": pd.Series(list(got), dtype=object), "cluster": pd.Series(list(got.values()), dtype=object)})
 
             done = m.groupBy("component").cogroup(e.groupBy("component")).applyInPandas(run, "record_id string, cluster string").withColumn("split_round", F.lit(1))
             split = done if split is None else split.unionByName(done)

@@ -35,7 +35,7 @@ def _in(values: list[str]) -> str:
 _T = {t: t for t in ("part", "customer", "supplier")}
 COMPANIES = f"""co AS (
     SELECT record_id, source, name, trim(regexp_replace(lower(name), '[^a-z0-9_]+', ' ', 'g')) AS name_norm, array_to_string(list_sort(string_split(truth_name, ' ')), ' ') AS name_fp, legal_form,
-           CASE WHEN raw_number = '' THEN '' ELSE 'BRAND' || lpad(regexp_replace(raw_number, '[^0-9]', '', 'g'), greatest(length(regexp_replace(raw_number, '[^0-9]', '', 'g')), 3), '0') END AS reg_number,
+           CASE WHEN raw_number = '' THEN '' ELSE 'BRAND' || lpad(regexp_replace(raw_number, '[^0-9]', '', 'g'), greatest(length(regexp_replace(raw_number, '[^0-9]', '', 'g')), 3)::INT, '0') END AS reg_number,
            jurisdiction, country, postcode, address_blk, address_norm, truth_name, truth_brand
     FROM ({bridge.BRIDGE_SQL['companies'].format(**_T)}) )"""
 PEOPLE = f"""pe AS (
@@ -123,7 +123,7 @@ def phonetic_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT c_custkey, 'AB' || (c_custkey % 90 + 1) || ' ' || (c_custkey % 10) || 'CD' AS postcode, 'AB' || (c_custkey % 90 + 1) AS district, 'AB' AS area,
-          c_custkey || '|AB' || (c_custkey % 90 + 1) || ' ' || (c_custkey % 10) || 'CD' AS address_key, lower(c_mktsegment) || ' lane 7' AS loose_norm, lower(c_mktsegment) || ' 7' AS loose_key FROM customer""")
+          c_custkey || '|AB' || (c_custkey % 90 + 1) || ' ' || (c_custkey % 10) || 'CD' AS address_key, lower(c_mktsegment) || ' lane 7' AS loose_norm, CASE WHEN c_mktsegment = 'BUILDING' THEN '7' ELSE lower(c_mktsegment) || ' 7' END AS loose_key FROM customer""")
 def postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ADR-01..04: postcodes and address keys."""
     raw = F.concat(F.lit(" ab"), (F.col("c_custkey") % 90 + 1).cast("string"), F.lit("  "), (F.col("c_custkey") % 10).cast("string"), F.lit("cd "))
@@ -142,7 +142,7 @@ def country_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bridge.table(spark, sf_dir, "supplier").select("s_suppkey", iso.alias("iso"), places.is_secrecy(iso).alias("secrecy"))
 
 
-@query("""SELECT s_suppkey, lpad(s_suppkey::VARCHAR, greatest(length(s_suppkey::VARCHAR), 8), '0') AS plain, 'SC' || lpad(s_suppkey::VARCHAR, greatest(length(s_suppkey::VARCHAR), 6), '0') AS prefixed, '' AS nothing FROM supplier""")
+@query("""SELECT s_suppkey, lpad(s_suppkey::VARCHAR, greatest(length(s_suppkey::VARCHAR), 8)::INT, '0') AS plain, 'SC' || lpad(s_suppkey::VARCHAR, greatest(length(s_suppkey::VARCHAR), 6)::INT, '0') AS prefixed, '' AS nothing FROM supplier""")
 def company_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IDN-01: registration numbers padded."""
     k = F.col("s_suppkey").cast("string")
