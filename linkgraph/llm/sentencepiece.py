@@ -21,7 +21,7 @@ from linkgraph.llm.common import arrow_map
 
 SPACE = "▁"
 #: Parts that a worker remembers; when it holds more it forgets all and starts again. Results don't depend on it.
-MEMORY = 800_000
+MEMORY = 1_500_000
 _LOADED: dict[str, Encoder] = {}
 
 
