@@ -6,12 +6,12 @@ Python worker holds little whatever the size of its partition.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -84,11 +84,19 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Iter
                     yield out
                 else:
                     yield from out
+            give_back()
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns memory that this worker holds but doesn't use to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Holds the session to ARROW_ROWS rows a batch."""
     if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= ARROW_ROWS:
@@ -225,10 +233,10 @@ def may_match(df: DataFrame, key: str, partners: DataFrame) -> tuple[DataFrame,
     bits[hit] = True
     sent = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
 
-    @F.pandas_udf("boolean")
-    def may(h: pd.Series) -> pd.Series:
-        at = h.to_numpy()
-        return pd.Series((np.frombuffer(sent.value, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+    @F.arrow_udf("boolean")
+    def may(h: pa.Array) -> pa.Array:
+        at = h.to_numpy(zero_copy_only=False)
+        return pa.array((np.frombuffer(sent.value, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
 
     marked = df.withColumn("_may", may(F.pmod(F.xxhash64(key), F.lit(size)).cast("int")))
     return marked.filter("_may").drop("_may"), marked.filter("not _may").drop("_may")

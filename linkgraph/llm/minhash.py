@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import U64, arrow_map, doc_key, may_match, mix, prefix_sums, range_hash, saved, scratch, slices, small_batches, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import U64, arrow_map, doc_key, give_back, may_match, mix, prefix_sums, range_hash, saved, scratch, slices, small_batches, text_bytes, word_hashes, words_of
 from linkgraph.operators.components import connected_components
 
 POSTED = 40
@@ -173,6 +173,7 @@ def by_group(batches: Iterator[pa.RecordBatch], keys: list[str], done: Callable[
             if (out := done(pa.Table.from_batches([*held, batch.slice(0, last)]))) is not None:
                 yield out
             held = [batch.slice(last)]
+            give_back()
         else:
             held.append(batch)
     if held and (out := done(pa.Table.from_batches(held))) is not None:
