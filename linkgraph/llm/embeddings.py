@@ -160,7 +160,6 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
     blocks = min(blocks, dim)
     plan = make_plan(sample, 2 - 2 * least, blocks, max(2, total // TILE))
     sent = spark.sparkContext.broadcast(plan)
-    per_slab: dict[tuple[int, int], int] = {}
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
         ok, x = unit_rows(batch.column(1), dim)
@@ -175,7 +174,7 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
         return pa.RecordBatch.from_arrays([own.take(rows_of), pa.array(np.concatenate([o[0] for o in out]).astype(np.int32)), pa.array(np.concatenate([o[1] for o in out]).astype(np.int32)), flat.take(rows_of)], names=["row", "block", "slab", "x"])
 
     placed = arrow_map(kept.select("row", "vector"), place, "row long, block int, slab int, x array<double>")
-    per_slab = {(r[0], r[1]): r[2] for r in placed.groupBy("block", "slab").count().collect()}  # at most total / TILE slabs of each block
+    per_slab = {(r[0], r[1]): r[2] for r in placed.groupBy("block", "slab").count().collect()}  # few: a slab is at least as wide as the block's radius, and the vectors have length 1
     tiles = F.create_map(*[c for (k, s), n in per_slab.items() for c in (F.lit(k * 1_000_000 + s), F.lit(-(-n // TILE)))]) if per_slab else F.lit(None)
     n_own = tiles[F.col("block") * 1_000_000 + F.col("slab")]
     n_next = F.coalesce(F.try_element_at(tiles, F.col("block") * 1_000_000 + F.col("slab") + 1), F.lit(0))
@@ -206,7 +205,7 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
             a, b = (np.concatenate(c) for c in zip(*found, strict=True))
             who, n = np.unique(np.concatenate([a, b]), return_counts=True)
             tree = forest(a, b) if len(a) else np.zeros((2, 0), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(["count"] * len(who) + ["edge"] * tree.shape[1]), pa.array(np.concatenate([who, tree[0]])), pa.array(np.concatenate([n, tree[1]]))], names=["kind", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(["count"] * len(who) + ["edge"] * tree.shape[1], pa.string()), pa.array(np.concatenate([who, tree[0]])), pa.array(np.concatenate([n, tree[1]]))], names=["kind", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -236,11 +235,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     link with nothing; so do rows without id, which have no component and are kept. Rows of one id are
     linked as different vectors are, and each counts.
     """
-    spark = vectors.sparkSession
     found = cut(links(vectors.select(F.col(id_col).cast("long").alias("row"), F.col(vector_col).alias("vector")).filter("row is not null"), least))
     counts = found.filter("kind = 'count'").groupBy("a").agg(F.sum("b").alias("n_links"))
     parts = connected_components(found.filter("kind = 'edge'"), "a", "b")
-    _ = spark
     return (
         vectors.select(F.col(id_col)).join(counts.withColumnRenamed("a", "_a"), F.col(id_col) == F.col("_a"), "left").join(parts, F.col(id_col) == F.col("node"), "left")
         .select(F.col(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component", F.col(id_col).cast("long")).alias("component_id"))
