@@ -121,13 +121,13 @@ def occurrences(docs: DataFrame, unit: Unit) -> DataFrame:
     return arrow_map(docs.select("_id", "_text", "_key"), run, f"anchor long, digest long, _id {dict(docs.dtypes)['_id']}, _key long, first int, last int")
 
 
-def with_wanted(docs: DataFrame, wanted: DataFrame, on: str, f: Callable[[Symbols, Bundles, np.ndarray], list[pa.Array]], columns: str, unit: Unit) -> DataFrame:
-    """f's rows for the bundles that wanted (on, anchor, digest) names, from the texts of the documents whose column `on` it names.
+def with_wanted(docs: DataFrame, wanted: DataFrame, on: str, f: Callable[[Symbols, Bundles, np.ndarray, np.ndarray], list[pa.Array]], columns: str, unit: Unit) -> DataFrame:
+    """f's rows for the bundles that wanted (on, anchor, digest, cut) names, from the texts of the documents whose column `on` it names.
 
-    f gets the slice's symbols, its wanted bundles and the row of each; its arrays have a row for each
+    f gets the slice's symbols, its wanted bundles, and the row and cut of each; its arrays have a row for each
     of its results, the first being the row of docs. Other documents' texts don't move.
     """
-    listed = wanted.groupBy(on).agg(F.collect_list(F.struct("anchor", "digest")).alias("wanted"))
+    listed = wanted.groupBy(on).agg(F.collect_list(F.struct("anchor", "digest", "cut")).alias("wanted"))
     few = docs.select("_id", "_key", "_text")
     if on == "_key":
         few, _ = may_match(few, "_key", wanted)
@@ -146,7 +146,9 @@ def with_wanted(docs: DataFrame, wanted: DataFrame, on: str, f: Callable[[Symbol
         near = np.flatnonzero(np.isin(b.anchor ^ mix(own.astype(U64)), anchor ^ mix(row.astype(U64))))
         b, own = Bundles(b.anchor[near], b.place[near], b.first[near], b.last[near]), own[near]
         same = np.flatnonzero(np.isin(mix(b.anchor ^ mix(own.astype(U64))) ^ digests(s, b, unit).view(U64), mix(anchor ^ mix(row.astype(U64))) ^ digest))
-        of, *cols = f(s, Bundles(b.anchor[same], b.place[same], b.first[same], b.last[same]), own[same])
+        cut = lists.values.field(2).to_numpy(zero_copy_only=False)[off[0] : off[-1]]
+        cut_of = np.isin(b.anchor[same] ^ mix(own[same].astype(U64)), (anchor ^ mix(row.astype(U64)))[cut])
+        of, *cols = f(s, Bundles(b.anchor[same], b.place[same], b.first[same], b.last[same]), own[same], cut_of)
         return pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *cols], names=["_id", "_key", *(c.split()[0] for c in columns.split(", "))])
 
     return arrow_map(joined, run, f"_id {dict(docs.dtypes)['_id']}, _key long, {columns}")

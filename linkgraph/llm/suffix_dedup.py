@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import U64, cut, doc_key, mix, remove, saved, scratch, small_batches
+from linkgraph.llm.common import BYTE, U64, doc_key, mix, prefix_sums, range_hash, remove, saved, scratch, small_batches
 from linkgraph.llm.repeats import Bundles, Symbols, Unit, anchors, cover, occurrences, with_wanted
 
 WINDOW = 200
 UNIT = Unit("byte", WINDOW, 48)
 #: A shard's suffix array is begun anew after so many bytes, at a change of the routing key.
 SHARD_BYTES = 1 << 20
+#: Contents under one anchor beyond which they part by a second one, so that a shard stays small.
+FREQUENT = 500
 _PACK = 7
 
 
@@ -42,23 +44,30 @@ def smaller_than_next(t: np.ndarray) -> np.ndarray:
 
 
 def sort_directly(places: np.ndarray, key: np.ndarray, depth: int) -> np.ndarray:
-    """places in the order of the suffixes there, by their first depth symbols."""
-    order = places[np.argsort(key[places], kind="stable")]
-    group = np.concatenate([[True], key[order[1:]] != key[order[:-1]]]) if len(order) else np.zeros(0, bool)
-    done = _PACK
+    """places in the order of the suffixes there, by their first depth symbols; key has the next seven of each place."""
+    rank = np.unique(key, return_inverse=True)[1].astype(U64) + U64(1)
+    bits = U64(int(len(key) + 1).bit_length())
+    padded = np.concatenate([rank, np.zeros(2 * _PACK, U64)])
+    n = len(key)
+    wide = ((padded[:n] << (bits + bits)) | (padded[_PACK : n + _PACK] << bits) | padded[2 * _PACK : n + 2 * _PACK]) if bits <= 21 else rank
+    step = 3 * _PACK if bits <= 21 else _PACK
+    order = places[np.argsort(wide[places], kind="stable")]
+    group = np.concatenate([[True], wide[order[1:]] != wide[order[:-1]]]) if len(order) else np.zeros(0, bool)
+    done = step
     while done < depth and len(order):
         tied = np.flatnonzero(~(group & np.append(group[1:], True)))
         if not len(tied):
             break
         own = order[tied]
-        rank = np.cumsum(group)[tied]
+        of = np.cumsum(group)[tied]
         nxt = own + done
-        more = np.where(nxt < len(key), key[np.minimum(nxt, len(key) - 1)], 0)
-        again = np.lexsort((more, rank))
+        more = np.where(nxt < n, wide[np.minimum(nxt, n - 1)], U64(0))
+        again = np.argsort(more, kind="stable")
+        again = again[np.argsort(of[again], kind="stable")]
         order[tied] = own[again]
-        more, rank = more[again], rank[again]
-        group[tied] |= np.concatenate([[True], (more[1:] != more[:-1]) | (rank[1:] != rank[:-1])])
-        done += _PACK
+        more, of = more[again], of[again]
+        group[tied] |= np.concatenate([[True], (more[1:] != more[:-1]) | (of[1:] != of[:-1])])
+        done += step
     return order
 
 
@@ -92,16 +101,41 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def common_prefixes(t: np.ndarray, sa: np.ndarray, depth: int) -> np.ndarray:
-    """Of each suffix and the one before it, the length of the common prefix, counted up to depth and not past a 0."""
-    n = np.zeros(len(sa), np.int64)
-    live = np.arange(1, len(sa))
-    while len(live):
-        a, b = sa[live - 1] + n[live], sa[live] + n[live]
-        live = live[(np.maximum(a, b) < len(t)) & (t[np.minimum(a, len(t) - 1)] == t[np.minimum(b, len(t) - 1)]) & (t[np.minimum(a, len(t) - 1)] > 0)]
-        n[live] += 1
-        live = live[n[live] < depth]
-    return n
+def reach(t: np.ndarray, sa: np.ndarray, depth: int) -> np.ndarray:
+    """Whether the common prefix of each suffix and the one before it has depth symbols, none of them 0; seven are compared at a time."""
+    key = packed(t)
+    ends = np.flatnonzero(t == 0)
+    room = (ends[np.searchsorted(ends, sa)] - sa >= depth) if len(ends) else np.zeros(len(sa), bool)
+    live = np.flatnonzero(room[1:] & room[:-1]) + 1
+    for at in [*range(0, max(1, depth - _PACK), _PACK), depth - _PACK] if depth >= _PACK else range(depth):
+        x, y = sa[live - 1] + at, sa[live] + at
+        live = live[key[x] == key[y] if depth >= _PACK else t[x] == t[y]]
+    out = np.zeros(len(sa), bool)
+    out[live] = True
+    return out
+
+
+def may_repeat(pieces: list[bytes], window: int) -> list[tuple[int, int, int]]:
+    """Runs (piece, first, last) of places where a string of window bytes begins whose hash occurs again among the pieces; no others can repeat."""
+    lengths = np.array([len(p) + 1 for p in pieces])
+    begin = np.cumsum(lengths) - lengths
+    raw = np.frombuffer(b"".join(p + b"\0" for p in pieces), np.uint8)
+    own = np.repeat(np.arange(len(pieces)), lengths)
+    at = np.arange(max(0, len(raw) - window))
+    at = at[own[at] == own[at + window]]  # the byte behind the string is still the piece's, its end included
+    h = range_hash(prefix_sums(BYTE[raw]), at, at + window)
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    again = np.zeros(len(h), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    at = at[again]
+    if not len(at):
+        return []
+    of = own[at]
+    edge = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(of) != 0)]))
+    last = np.append(edge[1:], len(at)) - 1
+    return list(zip(of[edge].tolist(), (at[edge] - begin[of[edge]]).tolist(), (at[last] - begin[of[edge]]).tolist(), strict=True))
 
 
 def repeated_windows(pieces: list[bytes], window: int) -> np.ndarray:
@@ -113,7 +147,7 @@ def repeated_windows(pieces: list[bytes], window: int) -> np.ndarray:
         joined[at : at + len(p)] += 1
         at += len(p) + 1
     sa = suffix_array(joined, window)
-    long = common_prefixes(joined, sa, window) >= window
+    long = reach(joined, sa, window)
     return np.sort(sa[long | np.append(long[1:], False)])
 
 
@@ -121,16 +155,22 @@ def judge(pieces: DataFrame, unit: Unit) -> DataFrame:
     """Windows that repeat among pieces (route, _id, _key, first, bytes) of one route: _id, _key, first, last."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        start = np.concatenate([[0], np.cumsum([len(r[4]) + 1 for r in rows])])
-        at = repeated_windows([r[4] for r in rows], unit.window)
-        own = np.searchsorted(start, at, side="right") - 1
-        first = [int(rows[o][3] + a - start[o]) for o, a in zip(own.tolist(), at.tolist(), strict=True)]
-        # Neighbouring places of one piece are given as one range.
-        edge = np.ones(len(at), bool)
-        edge[1:] = (np.diff(at) != 1) | (np.diff(own) != 0)
-        heads = np.flatnonzero(edge)
-        tails = np.append(heads[1:], len(at)) - 1
-        return pa.RecordBatch.from_arrays([pa.array([rows[own[h]][1] for h in heads], id_type), pa.array([rows[own[h]][2] for h in heads], pa.int64()), pa.array([first[h] for h in heads], pa.int32()), pa.array([first[t] for t in tails], pa.int32())], names=["_id", "_key", "first", "last"])
+        # Equal runs are sorted once; a run that occurs again is settled by that.
+        runs: dict[bytes, list[tuple[int, int, int]]] = {}
+        for k, first, last in may_repeat([r[4] for r in rows], unit.window):
+            runs.setdefault(rows[k][4][first : last + unit.window], []).append((k, first, last))
+        start = np.concatenate([[0], np.cumsum([len(r) + 1 for r in runs])]).astype(np.int64)
+        at = repeated_windows(list(runs), unit.window)
+        of = np.searchsorted(start, at, side="right") - 1
+        edge = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(of) != 0)])) if len(at) else np.zeros(0, np.int64)
+        until = np.append(edge[1:], len(at)) - 1
+        places = list(runs.values())
+        out = [(k, first, last) for p in places if len(p) > 1 for k, first, last in p]
+        for o, lo, hi in zip(of[edge].tolist(), (at[edge] - start[of[edge]]).tolist(), (at[until] - start[of[edge]]).tolist(), strict=True):
+            if len(places[o]) == 1:
+                k, first, _ = places[o][0]
+                out.append((k, first + lo, first + hi))
+        return pa.RecordBatch.from_arrays([pa.array([rows[k][1] for k, _, _ in out], id_type), pa.array([rows[k][2] for k, _, _ in out], pa.int64()), pa.array([rows[k][3] + a for k, a, _ in out], pa.int32()), pa.array([rows[k][3] + b for k, _, b in out], pa.int32())], names=["_id", "_key", "first", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -155,25 +195,33 @@ def repeated(rows: DataFrame, unit: Unit = UNIT) -> DataFrame:
     spark = rows.sparkSession
     path = scratch(spark, "bundles")
     occ = saved(occurrences(rows, unit), path)
-    counted = cut(occ.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min("_key").alias("_key")))
+    counted = saved(occ.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min("_key").alias("_key")), scratch(spark, "contents"))
     whole = saved(occ.join(counted.filter("n > 1").select("anchor", "digest"), ["anchor", "digest"]).select("_id", "_key", "first", "last"), scratch(spark, "whole"))
     remove(spark, path)
-    mixed = counted.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor")
-    wanted = counted.join(mixed, "anchor").select("_key", "anchor", "digest")
-
-    def pieces(s: Symbols, b: Bundles, row: np.ndarray) -> list[pa.Array]:
-        # A bundle is cut where the anchor of another choice changes, so that a frequent anchor's contents part by their surroundings.
-        second, hashes = anchors(s, unit, seed=0x2545F491)
-        change = np.ones(len(second), bool)
+    # Where every content occurs again, all windows are settled.
+    mixed = counted.groupBy("anchor").agg(F.count("*").alias("k"), F.min("n").alias("n")).filter("k > 1 and n = 1").select("anchor", (F.col("k") > FREQUENT).alias("cut"))
+    wanted = counted.drop("n").join(mixed, "anchor").select("_key", "anchor", "digest", "cut")
+
+    def pieces(s: Symbols, b: Bundles, row: np.ndarray, part: np.ndarray) -> list[pa.Array]:
+        # A frequent anchor's bundle is cut where the anchor of another choice changes.
+        if part.any():
+            second, hashes = anchors(s, unit, seed=0x2545F491)
+        else:
+            second, hashes = np.zeros(max(0, len(s.hashes) - unit.window + 1), np.int64), np.zeros(max(0, len(s.hashes) - unit.window + 1), U64)
+        change = np.zeros(len(second), bool)
         change[1:] = second[1:] != second[:-1]
+        inside = np.zeros(len(second) + 1, np.int64)
+        np.add.at(inside, b.first[part], 1)
+        np.add.at(inside, b.last[part] + 1, -1)
+        change &= np.cumsum(inside[:-1]) > 0
         change[b.first] = True
         cuts = np.append(np.flatnonzero(change), len(second))
         lo, hi = np.searchsorted(cuts, b.first), np.searchsorted(cuts, b.last, side="right")
         n = hi - lo
         c = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        first, last = cuts[c], np.minimum(cuts[np.minimum(c + 1, len(cuts) - 1)] - 1, np.repeat(b.last, n))
+        first, last = cuts[c] if len(c) else c, np.minimum(cuts[np.minimum(c + 1, len(cuts) - 1)] - 1, np.repeat(b.last, n))
         rows_of = np.repeat(row, n)
-        route = mix(np.repeat(b.anchor, n) ^ mix(hashes[first]))
+        route = mix(np.repeat(b.anchor, n) ^ np.where(np.repeat(part, n), mix(hashes[first]), U64(0)))
         return [pa.array(rows_of), pa.array(route.view(np.int64)), pa.array((first - s.first[rows_of]).astype(np.int32)), pa.array([s.data[i:j] for i, j in zip(first.tolist(), (last + unit.window).tolist(), strict=True)], pa.binary())]
 
     found = with_wanted(rows, wanted, "_key", pieces, "route long, first int, bytes binary", unit)
