@@ -3,7 +3,7 @@
 A logistic model over hashed words and their beginnings, of those that go with a label. For each labelled text a
 counterfactual is made by swapping its identity terms for others of the same group (a text that names
 none gets one term of a group appended, and its counterfactual another), and the squared change of the
-score is a penalty, so that naming a group doesn't move a score.
+score's log odds is a penalty, so that naming a group doesn't move a score.
 """
 
 from __future__ import annotations
@@ -98,6 +98,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarr
         return Model(w.astype(np.float32), b)
     seen, seen_b, rng = np.full(1 << BITS, 1e-6), 1e-6, np.random.default_rng(seed)
     keep = telling([t[0] for t in texts], labels)
+    keep[features(pa.array([t for g in IDENTITY_TERMS.values() for t in g]))[1]] = True
     texts = [tuple(v[keep[v]] for v in t) for t in texts]
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5
@@ -105,15 +106,13 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarr
         order = rng.permutation(len(labels))
         for k in range(0, len(order), batch):
             idx = order[k : k + batch]
-            grads, gb = [], 0.0
             z = np.array([w[texts[i][0]].sum() for i in idx]) + b
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[idx]) * weight[idx]
             gb = g.sum()
-            za, zb = (np.array([w[texts[i][v]].sum() for i in idx]) + b for v in (1, 2))
-            pa_, pb_ = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (za, zb))
-            da, db = 2 * counterfactual * (pa_ - pb_) * pa_ * (1 - pa_), -2 * counterfactual * (pa_ - pb_) * pb_ * (1 - pb_)
+            za, zb = (np.array([w[texts[i][v]].sum() for i in idx]) for v in (1, 2))
+            change = 2 * counterfactual * np.clip(za - zb, -5, 5)
             cols = [texts[i][v] for v in (0, 1, 2) for i in idx]
-            grads = np.repeat(np.concatenate([g, da, db]), [len(c) for c in cols])
+            grads = np.repeat(np.concatenate([g, change, -change]), [len(c) for c in cols])
             at, inv = np.unique(np.concatenate(cols), return_inverse=True)
             step = np.bincount(inv, grads) / len(idx) + l2 * w[at]
             seen[at] += step**2
