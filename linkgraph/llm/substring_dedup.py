@@ -81,10 +81,10 @@ class FingerprintIndex:
         """
         best = self.history().groupBy("anchor", "digest").agg(F.min("_id").alias("_id"))
         mixed = best.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-        wanted = best.join(mixed, "anchor")
+        wanted = best.join(mixed, "anchor").withColumn("cut", F.lit(False))
         unit = self.unit
 
-        def windows(s: Symbols, b: Bundles, row: np.ndarray) -> list[pa.Array]:
+        def windows(s: Symbols, b: Bundles, row: np.ndarray, _: np.ndarray) -> list[pa.Array]:
             n = b.last - b.first + 1
             starts = np.repeat(b.first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             rows = np.repeat(row, n)
