@@ -27,7 +27,7 @@ from linkgraph.operators.components import connected_components
 
 BLOCKS = 4
 #: Rows of one side of a tile; a slab of more is dealt out in tiles, each two of which meet in a task of their own.
-TILE = 2048
+TILE = 8192
 #: The rotation, the blocks' parts of the variance and the slabs' bounds are taken from at most so many vectors; no result depends on them.
 SAMPLE = 4000
 #: Room for the rounding of single precision in the blocks' distances, which only propose.
@@ -126,10 +126,14 @@ def tile_links(x: np.ndarray, y: np.ndarray, ids: tuple[np.ndarray, np.ndarray],
 
     p, q = rx[:, plan.cuts[block] : plan.cuts[block + 1]], ry[:, plan.cuts[block] : plan.cuts[block + 1]]
     found_a, found_b = [], []
-    qq = (q * q).sum(1)
-    for k in range(0, len(p), 512):
-        part = p[k : k + 512]
-        near = (part * part).sum(1)[:, None] + qq[None] - 2 * (part @ q.T) <= plan.radius2[block] + 2 * ROOM
+    # Half the squared distance, less what both lengths add to it, is one product of matrices.
+    one, half = np.ones((len(p), 1), np.float32), -0.5 * (q * q).sum(1, keepdims=True)
+    left = np.concatenate([p, one, -0.5 * (p * p).sum(1, keepdims=True)], 1)
+    right = np.ascontiguousarray(np.concatenate([q, half, np.ones((len(q), 1), np.float32)], 1).T)
+    bound = np.float32(-0.5 * (plan.radius2[block] + 2 * ROOM))
+    for k in range(0, len(p), 256):
+        part = left[k : k + 256]
+        near = part @ right >= bound
         if same:
             near &= np.arange(k, k + len(part))[:, None] < np.arange(len(q))[None]
         a, b = np.nonzero(near)
@@ -151,6 +155,7 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
     """Of vectors (row long, vector array) rows (kind, a, b): 'count' has the number b of links of a found in a task, 'edge' an edge of its spanning forest."""
     spark = vectors.sparkSession
     kept = vectors.filter(F.col("vector").isNotNull() & (F.size("vector") > 0))
+    element = dict(vectors.dtypes)["vector"]
     total = kept.count()
     rows = kept.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE).toArrow().combine_chunks()["vector"]
     sample = unit_rows(rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows)[1] if total else np.zeros((0, 0))
@@ -170,10 +175,10 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
             slab = np.searchsorted(sent.value.bounds[k], y[:, sent.value.cuts[k]], side="right")
             out.append((np.full(n, k), slab))
         rows_of = pa.array(np.tile(np.arange(n), blocks))
-        flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * dim), pa.array(x.ravel()))
+        flat = batch.column(1).filter(pa.array(ok))
         return pa.RecordBatch.from_arrays([own.take(rows_of), pa.array(np.concatenate([o[0] for o in out]).astype(np.int32)), pa.array(np.concatenate([o[1] for o in out]).astype(np.int32)), flat.take(rows_of)], names=["row", "block", "slab", "x"])
 
-    placed = arrow_map(kept.select("row", "vector"), place, "row long, block int, slab int, x array<double>")
+    placed = arrow_map(kept.select("row", "vector"), place, f"row long, block int, slab int, x {element}")
     per_slab = {(r[0], r[1]): r[2] for r in placed.groupBy("block", "slab").count().collect()}  # few: a slab is at least as wide as the block's radius, and the vectors have length 1
     tiles = F.create_map(*[c for (k, s), n in per_slab.items() for c in (F.lit(k * 1_000_000 + s), F.lit(-(-n // TILE)))]) if per_slab else F.lit(None)
     n_own = tiles[F.col("block") * 1_000_000 + F.col("slab")]
@@ -189,7 +194,7 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
     def meet(g: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         row, left = g["row"].to_numpy(), g["left"].to_numpy(zero_copy_only=False)
         x = g["x"].combine_chunks()
-        x = (x.chunk(0) if isinstance(x, pa.ChunkedArray) else x).flatten().to_numpy().reshape(-1, dim)
+        x = unit_rows(x.chunk(0) if isinstance(x, pa.ChunkedArray) else x, dim)[1]
         same = g["kind"][0].as_py() == 0 and g["i"][0].as_py() == g["j"][0].as_py()
         a, b = (np.arange(len(row)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
         u, v = tile_links(x[a], x[b], (row[a], row[b]), sent.value, g["block"][0].as_py(), least, same)
