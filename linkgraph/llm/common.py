@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 19
@@ -221,25 +221,37 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 FILTER_BITS = 22
 
 
-def may_match(df: DataFrame, key: str, partners: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """df in two parts: rows whose key (a long, not null) may be among partners' column of that name, and those whose key isn't.
+class KeyFilter:
+    """Which keys (longs, not null) may be among those of a DataFrame, by a bit for each of 2**FILTER_BITS hashes; all its keys go in.
 
-    For joins of long texts with few rows: the second part needn't move. All of partners' keys go into the filter.
+    For joins of long texts with few rows: the texts that have no partner needn't move.
     """
-    spark = df.sparkSession
-    size = 1 << FILTER_BITS
-    hit = partners.select(F.pmod(F.xxhash64(key), F.lit(size)).cast("int").alias("h")).distinct().toArrow()["h"].to_numpy()
-    bits = np.zeros(size, bool)
-    bits[hit] = True
-    sent = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
-
-    @F.arrow_udf("boolean")
-    def may(h: pa.Array) -> pa.Array:
-        at = h.to_numpy(zero_copy_only=False)
-        return pa.array((np.frombuffer(sent.value, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
-
-    marked = df.withColumn("_may", may(F.pmod(F.xxhash64(key), F.lit(size)).cast("int")))
-    return marked.filter("_may").drop("_may"), marked.filter("not _may").drop("_may")
+
+    def __init__(self, partners: DataFrame, key: str) -> None:
+        hit = partners.select(self.bucket(key).alias("h")).distinct().toArrow()["h"].to_numpy()
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        bits[hit] = True
+        self.sent = partners.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+
+    @staticmethod
+    def bucket(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS)).cast("int")
+
+    def __getstate__(self) -> dict:
+        return {"sent": self.sent}
+
+    def may(self, buckets: pa.Array) -> np.ndarray:
+        at = buckets.to_numpy(zero_copy_only=False)
+        return (np.frombuffer(self.sent.value, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+
+    def keep(self, df: DataFrame, key: str) -> DataFrame:
+        """The rows of df whose key may be there."""
+
+        @F.arrow_udf("boolean")
+        def may(h: pa.Array) -> pa.Array:
+            return pa.array(self.may(h))
+
+        return df.filter(may(self.bucket(key)))
 
 
 def doc_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import U64, arrow_map, doc_key, give_back, may_match, mix, prefix_sums, range_hash, saved, scratch, slices, small_batches, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import U64, KeyFilter, arrow_map, doc_key, give_back, mix, prefix_sums, range_hash, saved, scratch, slices, small_batches, text_bytes, word_hashes, words_of
 from linkgraph.operators.components import connected_components
 
 POSTED = 40
@@ -354,8 +354,7 @@ def classes(rows: DataFrame, like: Likeness) -> DataFrame:
 
     def texts(asked: DataFrame) -> DataFrame:
         named = asked.join(reps.select("rep", "_key"), "rep")
-        some, _ = may_match(rows, "_key", named)
-        return some.join(named.withColumnRenamed("_key", "_k"), (F.col("_key") == F.col("_k")) & (F.col("_id") == F.col("rep"))).dropDuplicates(["rep"]).select("rep", "_text")
+        return KeyFilter(named, "_key").keep(rows, "_key").join(named.withColumnRenamed("_key", "_k"), (F.col("_key") == F.col("_k")) & (F.col("_id") == F.col("rep"))).dropDuplicates(["rep"]).select("rep", "_text")
 
     star = lists.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     star = star.join(slim.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b").join(slim.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import BYTE, U64, arrow_map, may_match, mix, prefix_sums, range_hash, sliding_min, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import BYTE, U64, KeyFilter, arrow_map, mix, prefix_sums, range_hash, sliding_min, text_bytes, word_hashes, words_of
 
 _PLACE = U64((1 << 24) - 1)
 _BLOCK = 1 << 22
@@ -130,9 +130,9 @@ def with_wanted(docs: DataFrame, wanted: DataFrame, on: str, f: Callable[[Symbol
     listed = wanted.groupBy(on).agg(F.collect_list(F.struct("anchor", "digest", "cut")).alias("wanted"))
     few = docs.select("_id", "_key", "_text")
     if on == "_key":
-        few, _ = may_match(few, "_key", wanted)
+        few = KeyFilter(wanted, "_key").keep(few, "_key")
     else:
-        few, _ = may_match(few.withColumn("_h", F.xxhash64("_id")), "_h", wanted.select(F.xxhash64("_id").alias("_h")))
+        few = KeyFilter(wanted.select(F.xxhash64("_id").alias("_h")), "_h").keep(few.withColumn("_h", F.xxhash64("_id")), "_h")
     joined = few.join(listed, on).select("_id", "_key", "_text", "wanted")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -163,16 +163,15 @@ def cover(docs: DataFrame, spans: DataFrame, unit: Unit, id_col: str, digests_on
     """
     listed = spans.groupBy("_id", "_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     listed = listed.withColumnRenamed("_id", "_i").withColumnRenamed("_key", "_k")
-    some, none = may_match(docs.select("_id", "_key", "_text"), "_key", spans)
-    joined = some.join(listed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_text", "spans").unionByName(none.select("_id", "_text", F.lit(None).cast("array<struct<first:int,last:int>>").alias("spans")))
+    there = KeyFilter(spans, "_key")
+    some = there.keep(docs.select("_id", "_key", "_text"), "_key").join(listed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_text", "spans")
     word = unit.kind == "word"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
         lists = batch.column(2)
-        pairs = lists.values
         off = lists.offsets.to_numpy()
-        first, last = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
+        first, last = lists.values.field(0).to_numpy(), lists.values.field(1).to_numpy()
         n_all, n_gone, n_runs, out = [], [], [], []
         for k, t in enumerate(texts):
             raw = (t or "").encode()
@@ -198,8 +197,15 @@ def cover(docs: DataFrame, spans: DataFrame, unit: Unit, id_col: str, digests_on
         cols = [pa.array(x, pa.int64()) for x in (n_all, n_gone, n_runs)]
         return pa.RecordBatch.from_arrays([batch.column(0), *cols, pa.array(out, pa.string() if digests_only else pa.binary())], names=names)
 
+    def rest(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        batch = batch.filter(pa.array(~there.may(batch.column(2))))
+        return run(pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.nulls(batch.num_rows, span_type)], names=["_id", "_text", "spans"])) if batch.num_rows else None
+
+    span_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
     names = [id_col, f"n_{unit.kind}s", "n_removed", "n_spans", "kept_sha256" if digests_only else "kept"]
-    return arrow_map(joined, run, f"{id_col} {dict(docs.dtypes)['_id']}, n_{unit.kind}s long, n_removed long, n_spans long, {names[-1]} {'string' if digests_only else 'binary'}")
+    schema = f"{id_col} {dict(docs.dtypes)['_id']}, n_{unit.kind}s long, n_removed long, n_spans long, {names[-1]} {'string' if digests_only else 'binary'}"
+    # The texts that lose nothing don't move.
+    return arrow_map(some, run, schema).unionByName(arrow_map(docs.select("_id", "_text", KeyFilter.bucket("_key").alias("_bucket")), rest, schema))
 
 
 def window_hashes(s: Symbols, first: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
