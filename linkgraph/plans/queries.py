@@ -338,7 +338,7 @@ def canonical_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {COMPANIES}, k AS (SELECT name_fp, v, count(*) AS n FROM (SELECT name_fp, nullif(jurisdiction, '') AS v FROM co) WHERE v IS NOT NULL GROUP BY ALL),
-           r AS (SELECT name_fp, v, row_number() OVER (PARTITION BY name_fp ORDER BY n DESC, v) AS i FROM k) SELECT name_fp, v AS jurisdiction FROM r WHERE i = 1""")
+           r AS (SELECT name_fp, v, row_number() OVER (PARTITION BY name_fp ORDER BY n DESC, v) AS i FROM k) SELECT n.name_fp, v AS jurisdiction FROM (SELECT DISTINCT name_fp FROM co) n LEFT JOIN r ON r.name_fp = n.name_fp AND i = 1""")
 def modal_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-06: the most frequent observed value, of equals the smallest."""
     return bridge.companies(spark, sf_dir).groupBy("name_fp").agg(F.mode(F.nullif("jurisdiction", F.lit("")), True).alias("jurisdiction"))
