@@ -30,8 +30,8 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     many neighbours is an ordinary key of a join, which adaptive execution splits.
     """
     pairs = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).na.drop()
-    loops = pairs.filter("u = v").select("u").distinct()
-    now = checkpointed(pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    pairs = checkpointed(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    loops, now = pairs.filter("u = v").select("u"), pairs.filter("u <> v")
     mark = None
     while True:
         sides = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

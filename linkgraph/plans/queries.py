@@ -82,7 +82,7 @@ def _closure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _company_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    records = bridge.companies(spark, sf_dir)
+    records = checkpointed(bridge.companies(spark, sf_dir))  # names are normalised once, not in each join
     return records, blocking.candidate_pairs(blocking.blocking_keys(records))
 
 
