@@ -84,7 +84,7 @@ def build_clusters(records: DataFrame, scores: DataFrame, matcher: str = "rules"
             m = members.filter(F.col("entity_type") == kind).join(broken, "component").select("component", "record_id", *(F.col(r.column).cast("string").alias(r.column) for r in own))
             e = edges.join(parts.select(F.col("record_id").alias("left_id"), F.col("component").alias("part")), "left_id").join(broken.select(F.col("component").alias("part")), "part").select(F.col("part").alias("component"), "left_id", "right_id", "score")
 
-            def run(left: pd.DataFrame, right: pd.DataFrame, own: list[ConflictRule] = own) -> pd.DataFrame:
+            def run(left: pd.DataFrame, right: pd.DataFrame, *, own: list[ConflictRule] = own) -> pd.DataFrame:  # of three positional ones Spark would make the first the key
                 got = split_component(left, right, own)
                 return pd.DataFrame({"record_id": pd.Series(list(got), dtype=object), "cluster": pd.Series(list(got.values()), dtype=object)})
 

@@ -78,11 +78,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Company records, their text normalised by the library. Phonetic keys are left empty, as DuckDB has none to compare with."""
+    """Company records, their text normalised by the library."""
     c = view(spark, sf_dir, "companies")
     none = F.array().cast("array<string>")
     return c.select(
-        "record_id", "source", "entity_type", "name", text.normalize_text(F.col("name")).alias("name_norm"), text.company_fingerprint(F.col("name")).alias("name_fp"), F.lit("").alias("name_phonetic"), *(F.lit("").alias(k) for k in ("first_name", "middle_name", "last_name", "nationality")),
+        "record_id", "source", "entity_type", "name", text.normalize_text(F.col("name")).alias("name_norm"), text.company_fingerprint(F.col("name")).alias("name_fp"), text.phonetic_key(text.company_fingerprint(F.col("name"))).alias("name_phonetic"), *(F.lit("").alias(k) for k in ("first_name", "middle_name", "last_name", "nationality")),
         F.lit(None).cast("int").alias("birth_year"), F.lit(None).cast("int").alias("birth_month"), "country", "jurisdiction", places.company_number(F.col("raw_number")).alias("reg_number"), "address_norm", places.postcode(F.col("postcode")).alias("postcode"), "address_blk",
         text.legal_form(F.col("name"))["tag"].alias("legal_form"), F.lit(None).cast("date").alias("incorporation_date"), none.alias("topics"), "truth_name", "truth_brand",
     )
@@ -94,7 +94,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.struct(F.col("first_name").alias("first"), F.col("last_name").alias("last"))
     none = F.array().cast("array<string>")
     return c.select(
-        "record_id", "source", "entity_type", "name", text.normalize_text(F.col("name")).alias("name_norm"), text.person_fingerprint(parts).alias("name_fp"), F.lit("").alias("name_phonetic"), "first_name", "middle_name", "last_name", "nationality", "birth_year", "birth_month", "country",
+        "record_id", "source", "entity_type", "name", text.normalize_text(F.col("name")).alias("name_norm"), text.person_fingerprint(parts).alias("name_fp"), text.phonetic_key(text.person_fingerprint(parts)).alias("name_phonetic"), "first_name", "middle_name", "last_name", "nationality", "birth_year", "birth_month", "country",
         F.lit("").alias("jurisdiction"), F.lit("").alias("reg_number"), "address_norm", "postcode", "address_blk", F.lit("").alias("legal_form"), F.lit(None).cast("date").alias("incorporation_date"), none.alias("topics"),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,17 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def with_phonetic(*more: tuple[str, str]) -> Callable[[Query], Query]:
+    """Registers NAME_phonetic beside a query whose SQL knows no phonetic keys: the same over records that have them, and SQL that states Soundex; more: further replacements in it."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f"{f.__name__}_phonetic"] = partial(f, phonetic=True)
+        ORACLE[f"{f.__name__}_phonetic"] = reduce(lambda sql, x: sql.replace(*x), (*_PHONETIC, *more), ORACLE[f.__name__])
+        return f
+
+    return add
+
+
 def _in(values: list[str]) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -81,13 +93,42 @@ def _closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.control_closure(graph.edges(bridge.relationships(spark, sf_dir)))
 
 
-def _company_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    records = checkpointed(bridge.companies(spark, sf_dir))  # names are normalised once, not in each join
+_CODES = "translate(regexp_replace(lower(w), '[^a-z]', 'a', 'g'), 'abcdefghijklmnopqrstuvwxyz', '01230127022455012623017202')"
+#: Equal codes in a row count once, with h and w (7) between them too, and the first letter's own code is dropped.
+_RUNS = reduce(lambda x, d: f"regexp_replace({x}, '{d}+', '{d}', 'g')", "123456", f"(substr({_CODES}, 1, 1) || replace(substr({_CODES}, 2), '7', ''))")
+_SOUNDEX = f"array_to_string([CASE WHEN regexp_matches(w, '^[a-z]') THEN upper(substr(w, 1, 1)) || rpad(substr(replace(substr({_RUNS}, 2), '0', ''), 1, 3), 3, '0') ELSE w END FOR w IN string_split(name_fp, ' ')], ' ') AS name_phonetic"
+
+
+def _sounding(sql: str, name: str) -> str:
+    return f"{sql.replace(f'{name} AS (', f'{name}_mute AS (', 1)}, {name} AS (SELECT *, {_SOUNDEX} FROM {name}_mute)"
+
+
+_PHONETIC = [
+    (COMPANIES, _sounding(COMPANIES, "co")), (PEOPLE, _sounding(PEOPLE, "pe")),
+    ("{'n': 'c_fp', 'v': name_fp},", "{'n': 'c_fp', 'v': name_fp}, {'n': 'c_phon', 'v': name_phonetic},"), ("WHEN 'c_fp' THEN 300", "WHEN 'c_fp' THEN 300 WHEN 'c_phon' THEN 300"),
+    ("{'n': 'p_fp', 'v': name_fp},", "{'n': 'p_fp', 'v': name_fp}, {'n': 'p_phon_dob', 'v': name_phonetic || '|' || birth_year},"),
+    ("END AS reg,", "END AS reg, CASE WHEN a.name_phonetic <> '' AND b.name_phonetic <> '' THEN (a.name_phonetic = b.name_phonetic)::INT::DOUBLE END AS ph,"), ("coalesce(reg * 5.0", "coalesce(ph * 0.9 + (1 - ph) * -0.2, 0) + coalesce(reg * 5.0"),
+]
+
+
+def _companies(spark: SparkSession, sf_dir: str, phonetic: bool) -> DataFrame:
+    """Without phonetic as the plain queries' SQL has them: c_phon makes no keys and phonetic_exact is null."""
+    c = bridge.companies(spark, sf_dir)
+    return c if phonetic else c.withColumn("name_phonetic", F.lit(""))
+
+
+def _people(spark: SparkSession, sf_dir: str, phonetic: bool) -> DataFrame:
+    c = bridge.people(spark, sf_dir)
+    return c if phonetic else c.withColumn("name_phonetic", F.lit(""))
+
+
+def _company_pairs(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> tuple[DataFrame, DataFrame]:
+    records = checkpointed(_companies(spark, sf_dir, phonetic))  # names are normalised once, not in each join
     return records, blocking.candidate_pairs(blocking.blocking_keys(records))
 
 
-def _company_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    records, pairs = _company_pairs(spark, sf_dir)
+def _company_scores(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    records, pairs = _company_pairs(spark, sf_dir, phonetic)
     return records, pairs, matching.score(matching.features(pairs, records, "Company"), matching.COMPANY_WEIGHTS)
 
 
@@ -184,22 +225,25 @@ def name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Blocking
 
 
+@with_phonetic()
 @query(f"WITH {COMPANIES}, {COMPANY_KEYS} SELECT record_id, key_name, key_value, 'Company' AS entity_type FROM keys")
-def block_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def block_keys(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """BLK-01, PRJ-01, SET-01."""
-    return blocking.blocking_keys(bridge.companies(spark, sf_dir))
+    return blocking.blocking_keys(_companies(spark, sf_dir, phonetic))
 
 
+@with_phonetic()
 @query(f"WITH {COMPANIES}, {COMPANY_KEYS} SELECT key_name, key_value, n, n > 1 AND n <= cap AS usable FROM sizes")
-def block_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def block_sizes(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-01."""
-    return blocking.block_sizes(blocking.blocking_keys(bridge.companies(spark, sf_dir)))
+    return blocking.block_sizes(blocking.blocking_keys(_companies(spark, sf_dir, phonetic)))
 
 
+@with_phonetic()
 @query(f"WITH {COMPANIES}, {COMPANY_KEYS} SELECT left_id, right_id, array_to_string(list_sort(list(DISTINCT key_name)), ',') AS block_keys, count(DISTINCT key_name)::INT AS n_keys FROM cand GROUP BY ALL")
-def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def candidate_pairs(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """BLK-02, JOIN-01, AGG-02."""
-    _, pairs = _company_pairs(spark, sf_dir)
+    _, pairs = _company_pairs(spark, sf_dir, phonetic)
     return pairs.withColumn("block_keys", F.array_join("block_keys", ","))
 
 
@@ -211,18 +255,20 @@ _PEOPLE_KEYS = """keys AS (SELECT record_id, k.n AS key_name, k.v AS key_value F
              JOIN keys b ON a.key_name = b.key_name AND a.key_value = b.key_value AND a.record_id < b.record_id)"""
 
 
+@with_phonetic()
 @query(f"WITH {PEOPLE}, {_PEOPLE_KEYS} SELECT left_id, right_id, array_to_string(list_sort(list(DISTINCT key_name)), ',') AS block_keys FROM cand GROUP BY ALL")
-def candidate_pairs_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+def candidate_pairs_people(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """BLK-02 with the keys of persons."""
-    pairs = blocking.candidate_pairs(blocking.blocking_keys(bridge.people(spark, sf_dir)))
+    pairs = blocking.candidate_pairs(blocking.blocking_keys(_people(spark, sf_dir, phonetic)))
     return pairs.select("left_id", "right_id", F.array_join("block_keys", ",").alias("block_keys"))
 
 
+@with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS} SELECT key_name, count(*) AS blocks, count(*) FILTER (WHERE n > 1 AND n <= cap) AS usable_blocks, count(*) FILTER (WHERE n > cap) AS oversized_blocks, max(n) AS largest_block,
            coalesce(sum(n * (n - 1) // 2) FILTER (WHERE n > 1 AND n <= cap), 0)::BIGINT AS pairs FROM sizes GROUP BY 1""")
-def blocking_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def blocking_report(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """BLK-03, AGG-03."""
-    return blocking.report(blocking.blocking_keys(bridge.companies(spark, sf_dir)))
+    return blocking.report(blocking.blocking_keys(_companies(spark, sf_dir, phonetic)))
 
 
 _TRUTH = """truth AS (SELECT a.record_id AS left_id, b.record_id AS right_id FROM co a JOIN co b ON a.truth_name = b.truth_name AND a.truth_brand = b.truth_brand AND a.record_id < b.record_id)"""
@@ -232,71 +278,80 @@ def _truth(records: DataFrame) -> DataFrame:
     return evaluate.truth_pairs(records.select(F.concat_ws("|", "truth_name", "truth_brand").alias("truth_id"), "record_id"))
 
 
+@with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {_TRUTH} SELECT key_name, count(*) AS found, round(count(*) / (SELECT count(*) FROM truth), 6) AS completeness
            FROM (SELECT DISTINCT key_name, left_id, right_id FROM cand) JOIN truth USING (left_id, right_id) GROUP BY 1""")
-def pair_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pair_completeness(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-04, JOIN-08."""
-    records = bridge.companies(spark, sf_dir)
+    records = _companies(spark, sf_dir, phonetic)
     return blocking.completeness(blocking.blocking_keys(records), _truth(records)).withColumn("completeness", F.round("completeness", 6))
 
 
+@with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, c AS (SELECT count(*) AS n FROM co), p AS (SELECT count(*) AS m FROM (SELECT DISTINCT left_id, right_id FROM cand))
            SELECT n AS records, m AS candidate_pairs, n * (n - 1) // 2 AS naive_pairs, round(1 - m / (n * (n - 1) // 2), 9) AS reduction_ratio FROM c, p""")
-def reduction_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reduction_ratio(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-05."""
-    records, pairs = _company_pairs(spark, sf_dir)
+    records, pairs = _company_pairs(spark, sf_dir, phonetic)
     return blocking.reduction(records, pairs).withColumn("reduction_ratio", F.round("reduction_ratio", 9))
 
 
 # Matching
 
 
+@with_phonetic((", lf FROM feat", ", lf, ph FROM feat"))
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES} SELECT left_id, right_id, round(jw, 6) AS jw, round(tj, 6) AS tj, reg, ju, cc, pc, round(aj, 6) AS aj, lf FROM feat""")
-def company_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def company_features(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """PRJ-02, JOIN-02, SIM-03, SIM-05."""
-    records, pairs = _company_pairs(spark, sf_dir)
+    records, pairs = _company_pairs(spark, sf_dir, phonetic)
     f = matching.features(pairs, records, "Company")
-    return f.select("left_id", "right_id", F.round("name_fp_jw", 6).alias("jw"), F.round("name_token_jaccard", 6).alias("tj"), F.col("reg_number_match").alias("reg"), F.col("jurisdiction_match").alias("ju"), F.col("country_match").alias("cc"), F.col("postcode_level").alias("pc"), F.round("address_jaccard", 6).alias("aj"), F.col("legal_form_match").alias("lf"))
+    shown = f.select("left_id", "right_id", F.round("name_fp_jw", 6).alias("jw"), F.round("name_token_jaccard", 6).alias("tj"), F.col("reg_number_match").alias("reg"), F.col("jurisdiction_match").alias("ju"), F.col("country_match").alias("cc"), F.col("postcode_level").alias("pc"), F.round("address_jaccard", 6).alias("aj"), F.col("legal_form_match").alias("lf"), F.col("phonetic_exact").alias("ph"))
+    return shown if phonetic else shown.drop("ph")
 
 
+@with_phonetic((" AS mid\n", " AS mid, (a.name_phonetic = b.name_phonetic)::INT::DOUBLE AS ph\n"))
 @query(f"""WITH {PEOPLE}, {_PEOPLE_KEYS} SELECT left_id, right_id, round(jaro_winkler_similarity(a.name_fp, b.name_fp), 6) AS fp, round(jaro_winkler_similarity(a.last_name, b.last_name), 6) AS l, round(jaro_winkler_similarity(a.first_name, b.first_name), 6) AS f,
     round(greatest((jaro_winkler_similarity(a.first_name, b.first_name) + jaro_winkler_similarity(a.last_name, b.last_name)) / 2, (jaro_winkler_similarity(a.first_name, b.last_name) + jaro_winkler_similarity(a.last_name, b.first_name)) / 2), 6) AS x,
     (a.birth_year = b.birth_year)::INT::DOUBLE AS y, (a.birth_month = b.birth_month)::INT::DOUBLE AS m,
     CASE WHEN a.middle_name = '' OR b.middle_name = '' THEN NULL WHEN a.middle_name = b.middle_name OR (length(a.middle_name) = 1 AND starts_with(b.middle_name, a.middle_name)) OR (length(b.middle_name) = 1 AND starts_with(a.middle_name, b.middle_name)) THEN 1.0 ELSE 0.0 END AS mid
     FROM (SELECT DISTINCT left_id, right_id FROM cand) p JOIN pe a ON a.record_id = left_id JOIN pe b ON b.record_id = right_id""")
-def person_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def person_features(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """PRJ-02 of persons, SIM-04, SIM-06."""
-    records = bridge.people(spark, sf_dir)
+    records = _people(spark, sf_dir, phonetic)
     f = matching.features(blocking.candidate_pairs(blocking.blocking_keys(records)), records, "Person")
-    return f.select("left_id", "right_id", F.round("name_fp_jw", 6).alias("fp"), F.round("last_jw", 6).alias("l"), F.round("first_jw", 6).alias("f"), F.round("cross_name_jw", 6).alias("x"), F.col("birth_year_match").alias("y"), F.col("birth_month_match").alias("m"), F.col("middle_compat").alias("mid"))
+    shown = f.select("left_id", "right_id", F.round("name_fp_jw", 6).alias("fp"), F.round("last_jw", 6).alias("l"), F.round("first_jw", 6).alias("f"), F.round("cross_name_jw", 6).alias("x"), F.col("birth_year_match").alias("y"), F.col("birth_month_match").alias("m"), F.col("middle_compat").alias("mid"), F.col("phonetic_exact").alias("ph"))
+    return shown if phonetic else shown.drop("ph")
 
 
+@with_phonetic()
 @query(f"WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES} SELECT left_id, right_id, 'rules' AS matcher, round(score, 6) AS score, decision FROM dec")
-def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_scores(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """MAT-01, PRJ-03."""
-    s = _company_scores(spark, sf_dir)[2]
+    s = _company_scores(spark, sf_dir, phonetic)[2]
     return s.select("left_id", "right_id", "matcher", F.round("score", 6).alias("score"), "decision")
 
 
 @query()
 def rule_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MAT-02, PRJ-05, PRJ-06: features as JSON, rationale and ranked contributions."""
-    records, pairs = _company_pairs(spark, sf_dir)
+    records, pairs = _company_pairs(spark, sf_dir, phonetic=True)
     f = matching.features(pairs, records, "Company")
     said = matching.score(f, matching.COMPANY_WEIGHTS).select("left_id", "right_id", "features", "rationale")
     return said.join(matching.explain(f, matching.COMPANY_WEIGHTS).select("left_id", "right_id", F.to_json("contributions").alias("contributions")), ["left_id", "right_id"])
 
 
+@with_phonetic()
 @query(f"WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES} SELECT 'rules' AS matcher, decision, count(*) AS pairs FROM dec GROUP BY ALL")
-def decision_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decision_histogram(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-12."""
-    return matching.histogram(_company_scores(spark, sf_dir)[2])
+    return matching.histogram(_company_scores(spark, sf_dir, phonetic)[2])
 
 
+@with_phonetic()
 @query(f"WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES} SELECT left_id, right_id, round(score, 6) AS score FROM dec WHERE decision = 'uncertain' ORDER BY round(score, 9) DESC, left_id, right_id LIMIT 50")
-def uncertain_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+def uncertain_topn(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """SRT-04."""
-    s = _company_scores(spark, sf_dir)[2].withColumn("score", F.round("score", 9))
+    s = _company_scores(spark, sf_dir, phonetic)[2].withColumn("score", F.round("score", 9))
     return matching.uncertain_band(s, 50).select("left_id", "right_id", F.round("score", 6).alias("score"))
 
 
@@ -306,17 +361,19 @@ _CC = f"""WITH RECURSIVE {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES}, e AS (SE
     reach AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM reach r JOIN e ON e.u = r.v), comp AS (SELECT u AS record_id, least(u, min(v)) AS component FROM reach GROUP BY u)"""
 
 
+@with_phonetic()
 @query(f"{_CC} SELECT record_id AS node, component FROM comp")
-def components(spark: SparkSession, sf_dir: str) -> DataFrame:
+def components(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """CLU-01."""
-    return connected_components(_company_scores(spark, sf_dir)[2].filter("decision = 'accept'"), "left_id", "right_id")
+    return connected_components(_company_scores(spark, sf_dir, phonetic)[2].filter("decision = 'accept'"), "left_id", "right_id")
 
 
+@with_phonetic()
 @query(f"""{_CC}, n AS (SELECT component, count(DISTINCT nullif(reg_number, '')) AS n_reg_number, count(DISTINCT nullif(jurisdiction, '')) AS n_jurisdiction FROM comp JOIN co USING (record_id) GROUP BY 1)
            SELECT * FROM n WHERE n_reg_number > 1 OR n_jurisdiction > 2""")
-def cluster_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cluster_conflicts(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """CLU-02."""
-    records, _, s = _company_scores(spark, sf_dir)
+    records, _, s = _company_scores(spark, sf_dir, phonetic)
     parts = connected_components(s.filter("decision = 'accept'"), "left_id", "right_id").withColumnRenamed("node", "record_id")
     return clusters.conflicts(records.join(parts, "record_id"), [r for r in clusters.RULES if r.entity_type == "Company"])
 
@@ -324,15 +381,16 @@ def cluster_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def split_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CLU-03, CLU-04: clusters after conflicted components are split along their weakest links."""
-    records, _, s = _company_scores(spark, sf_dir)
+    records, _, s = _company_scores(spark, sf_dir, phonetic=True)
     return clusters.build_clusters(records, checkpointed(s))
 
 
+@with_phonetic()
 @query(f"""{_CC}, m AS (SELECT c.*, coalesce(p.component, c.record_id) AS cl FROM co c LEFT JOIN comp p USING (record_id))
            SELECT 'ent:' || cl AS canonical_id, count(*) AS n_records, array_to_string(list_sort(list(DISTINCT name)), '|') AS all_names, array_to_string(list_sort(list(record_id)), ',') AS record_ids, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM m GROUP BY cl""")
-def canonical_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def canonical_entities(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """CLU-05, AGG-07 over unsplit clusters."""
-    records, _, s = _company_scores(spark, sf_dir)
+    records, _, s = _company_scores(spark, sf_dir, phonetic)
     made = clusters.canonical_entities(records, clusters.build_clusters(records, checkpointed(s), split_conflicts=False))
     return made.select("canonical_id", "n_records", F.array_join("all_names", "|").alias("all_names"), F.array_join("record_ids", ",").alias("record_ids"), F.array_join("sources", ",").alias("sources"))
 
@@ -506,46 +564,51 @@ def name_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Measures
 
 
+@with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES}, {_TRUTH}, x AS (SELECT count(*) AS accepted, count(t.left_id) AS true_positives FROM dec d LEFT JOIN truth t USING (left_id, right_id) WHERE decision = 'accept'),
     y AS (SELECT (SELECT count(*) FROM truth) AS true_pairs, (SELECT count(*) FROM (SELECT DISTINCT left_id, right_id FROM cand) JOIN truth USING (left_id, right_id)) AS true_candidates)
     SELECT accepted, true_positives, true_pairs, true_candidates, round(true_positives / accepted, 6) AS precision, round(true_positives / true_pairs, 6) AS recall, round(true_candidates / true_pairs, 6) AS blocking_recall FROM x, y""")
-def pairwise_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pairwise_metrics(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-14, JOIN-04."""
-    records, pairs, s = _company_scores(spark, sf_dir)
+    records, pairs, s = _company_scores(spark, sf_dir, phonetic)
     m = evaluate.pairwise(s, _truth(records), pairs)
     return m.select("accepted", "true_positives", "true_pairs", "true_candidates", *(F.round(k, 6).alias(k) for k in ("precision", "recall", "blocking_recall")))
 
 
+@with_phonetic()
 @query(f"""{_CC}, m AS (SELECT truth_name || '|' || truth_brand AS t, coalesce(p.component, c.record_id) AS p FROM co c LEFT JOIN comp p USING (record_id)), k AS (SELECT p, t, count(*) AS n FROM m GROUP BY ALL),
     s AS (SELECT *, sum(n) OVER (PARTITION BY p) AS np, sum(n) OVER (PARTITION BY t) AS nt FROM k) SELECT sum(n)::BIGINT AS records, round(sum(n * n / np) / sum(n), 6) AS precision, round(sum(n * n / nt) / sum(n), 6) AS recall FROM s""")
-def bcubed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bcubed(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-13."""
-    records, _, s = _company_scores(spark, sf_dir)
+    records, _, s = _company_scores(spark, sf_dir, phonetic)
     found = clusters.build_clusters(records, checkpointed(s), split_conflicts=False)
     out = evaluate.bcubed(found, records.select("record_id", F.concat_ws("|", "truth_name", "truth_brand").alias("truth_id")))
     return out.select("records", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
 
 
+@with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES}, {_TRUTH} SELECT i / 40 AS threshold, count(*) FILTER (WHERE round(score, 9) >= i / 40) AS accepted, round(count(t.left_id) FILTER (WHERE round(score, 9) >= i / 40) / (SELECT count(*) FROM truth), 6) AS recall
     FROM (SELECT unnest(range(41)) AS i) CROSS JOIN dec LEFT JOIN truth t USING (left_id, right_id) GROUP BY i""")
-def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+def threshold_sweep(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-15."""
-    records, _, s = _company_scores(spark, sf_dir)
+    records, _, s = _company_scores(spark, sf_dir, phonetic)
     return evaluate.sweep(s.withColumn("score", F.round("score", 9)), _truth(records)).select("threshold", "accepted", F.round("recall", 6).alias("recall"))
 
 
+@with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES}, {_TRUTH} SELECT CASE WHEN d.left_id IS NULL THEN 'blocking' ELSE 'matching' END AS stage, count(*) AS missed FROM truth t LEFT JOIN dec d USING (left_id, right_id) WHERE decision IS DISTINCT FROM 'accept' GROUP BY 1""")
-def error_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def error_taxonomy(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-16, FLT-02."""
-    records, pairs, s = _company_scores(spark, sf_dir)
+    records, pairs, s = _company_scores(spark, sf_dir, phonetic)
     return evaluate.errors(s, _truth(records), pairs)
 
 
+@with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, l AS (SELECT b.record_id AS a, a.record_id AS b FROM co a JOIN co b ON a.reg_number = b.reg_number AND a.reg_number <> '' AND a.record_id < b.record_id), k AS (SELECT DISTINCT left_id, right_id FROM cand WHERE key_name <> 'c_reg')
     SELECT count(*) AS links, count(k.left_id) AS blocked FROM l LEFT JOIN k ON k.left_id = least(l.a, l.b) AND k.right_id = greatest(l.a, l.b)""")
-def heldout_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+def heldout_recall(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-17, JOIN-07, D3: registration numbers as truth, with their key and feature left out."""
-    records = bridge.companies(spark, sf_dir)
+    records = _companies(spark, sf_dir, phonetic)
     numbered = records.filter("reg_number <> ''").select("reg_number", "record_id")
     links = numbered.withColumnRenamed("record_id", "b").join(numbered.withColumnRenamed("record_id", "a"), "reg_number").filter("b < a").select("a", "b")
     keys = [k for k in blocking.KEYS if k.name != "c_reg"]
