@@ -57,16 +57,22 @@ PERSON = (
 )
 COMPANY = (Comparison("name", "name_fp", "jaro_winkler", True), Comparison("number", "reg_number", "exact", True), Comparison("jurisdiction", "jurisdiction"), Comparison("postcode", "postcode"), Comparison("form", "legal_form"), Comparison("address", "address_norm", "words"))
 COMPARISONS = {"Person": PERSON, "Company": COMPANY}
-#: Keys of pairs to score; each list also serves EM, which holds one key's comparisons out at a time.
-KEYS = {
-    "Person": tuple(blocking.BlockingKey(f"fs_{'_'.join(c)}", "Person", blocking.both(*c), 500) for c in (("last_name", "birth_year"), ("first_name", "birth_year"), ("name_phonetic", "birth_year"), ("postcode", "birth_year"), ("name_fp",), ("last_name", "postcode"))),
-    "Company": tuple(blocking.BlockingKey(f"fs_{'_'.join(c)}", "Company", blocking.both(*c), 500) for c in (("reg_number",), ("name_fp",), ("name_phonetic",), ("postcode",))),
+#: Columns that are equal in pairs to score; a pair needs one rule, and no block is too large.
+RULES = {
+    "Person": (("name_fp", "birth_year"), ("last_name", "birth_year"), ("first_name", "birth_year"), ("name_phonetic", "birth_year"), ("name_fp",), ("last_name", "postcode")),
+    "Company": (("reg_number",), ("name_fp",), ("name_phonetic",), ("postcode",)),
 }
+#: EM runs once for each, over the rule's pairs, with what the rule compares held out.
+TRAINING = {"Person": (("last_name", "birth_year"), ("name_fp",)), "Company": (("name_fp",), ("postcode",))}
+#: Pairs that this rule finds are RECALL of all that match: the prior of two random records.
+DETERMINISTIC, RECALL = {"Person": ("name_fp", "birth_year"), "Company": ("reg_number",)}, 0.8
+#: Rows of a tile; larger blocks are paired tile by tile.
+TILE = 1000
 
 
 @dataclass
 class Parameters:
-    """prior: chance that a blocked pair matches; m and u by comparison and level; likelihood: log likelihood after each round."""
+    """prior: chance that a pair matches; m and u by comparison and level; likelihood: log likelihood after each round, of the last training rule."""
 
     prior: float
     m: list[np.ndarray]
@@ -81,6 +87,22 @@ def compared(pairs: DataFrame, records: DataFrame, entity_type: str, comparisons
     return both.select("left_id", "right_id", *(c.level().alias(f"g_{c.name}") for c in comparisons), *(F.col(f"a_{c.column}").cast("string").alias(f"v_{c.name}") for c in comparisons if c.frequency))
 
 
+def blocked_pairs(records: DataFrame, entity_type: str, rules: Sequence[Sequence[str]] | None = None, tile: int = TILE) -> DataFrame:
+    """left_id < right_id of all pairs that a rule finds, each once.
+
+    A block's rows fall into tiles by hash; two rows meet in the one cell of their tiles, so that no task pairs more than two tiles at a time.
+    """
+    rules = rules or RULES[entity_type]
+    keys = [blocking.BlockingKey("_".join(r), entity_type, blocking.both(*r)) for r in rules]
+    made = blocking.blocking_keys(records, keys).select("record_id", "key_name", "key_value")
+    sizes = made.groupBy("key_name", "key_value").agg(F.count("*").alias("n")).filter("n > 1").withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+    rows = made.join(sizes, ["key_name", "key_value"]).withColumn("t", F.pmod(F.xxhash64("record_id"), F.col("tiles")).cast("int"))
+    cells = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key_name", "key_value", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "record_id")
+    a, b = (cells.withColumnRenamed("record_id", f"{x}_id").withColumnRenamed("t", f"{x}_t") for x in ("left", "right"))
+    both = a.join(b, ["key_name", "key_value", "i", "j"]).filter("left_id < right_id and (i = j or left_t <> right_t)")
+    return both.select("left_id", "right_id").distinct()
+
+
 def random_pairs(records: DataFrame, entity_type: str, n: int = RANDOM_PAIRS) -> DataFrame:
     """About n pairs of records that a hash puts in one bucket; they are as good as random."""
     ids = records.filter(F.col("entity_type") == entity_type).select("record_id")
@@ -125,14 +147,40 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, u: list[n
     return p
 
 
-def train(records: DataFrame, entity_type: str, comparisons: Sequence[Comparison] | None = None, keys: Sequence[blocking.BlockingKey] | None = None) -> Parameters:
-    comparisons, keys = comparisons or COMPARISONS[entity_type], keys or KEYS[entity_type]
+def deterministic_prior(records: DataFrame, entity_type: str) -> float:
+    """Pairs that agree on the deterministic rule, by its recall, of all pairs of the type."""
+    n = records.filter(F.col("entity_type") == entity_type).count()
+    key = blocking.BlockingKey("sure", entity_type, blocking.both(*DETERMINISTIC[entity_type]))
+    sizes = blocking.blocking_keys(records, [key]).groupBy("key_value").agg(F.count("*").alias("n"))
+    found = sizes.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0))).first()[0]
+    return float(np.clip(found / RECALL / max(1, n * (n - 1) / 2), 1e-9, 1 - 1e-6))
+
+
+def train(records: DataFrame, entity_type: str, comparisons: Sequence[Comparison] | None = None, rules: Sequence[Sequence[str]] | None = None) -> Parameters:
+    """u from random pairs, the prior from the deterministic rule, m from one run of EM for each training rule.
+
+    A run leaves out comparisons of columns that its rule has, as all its pairs agree there. Of comparisons that more than one
+    run estimates, the mean counts; what none does keeps the values that EM begins with.
+    """
+    comparisons, rules = comparisons or COMPARISONS[entity_type], rules or TRAINING[entity_type]
     u = level_shares(compared(random_pairs(records, entity_type), records, entity_type, comparisons), comparisons)
-    blocked = blocking.candidate_pairs(blocking.blocking_keys(records, keys), keys)
-    rows = compared(blocked, records, entity_type, comparisons).groupBy(*(F.coalesce(f"g_{c.name}", F.lit(-1)).alias(c.name) for c in comparisons)).agg(F.count("*").alias("n")).toPandas()
-    if not len(rows):
-        return Parameters(0.5, [np.full(len(x), 1 / len(x)) for x in u], u)
-    return expectation_maximisation(rows[[c.name for c in comparisons]].to_numpy(int), rows["n"].to_numpy(float), u, 0.1)
+    prior = deterministic_prior(records, entity_type)
+    first = [np.linspace(0.9, 0.02, len(x)) / np.linspace(0.9, 0.02, len(x)).sum() for x in u]
+    runs: list[list[np.ndarray]] = [[] for _ in u]
+    likelihood: list[float] = []
+    for rule in rules:
+        free = [k for k, c in enumerate(comparisons) if c.column not in rule]
+        names = [comparisons[k].name for k in free]
+        levels = compared(blocked_pairs(records, entity_type, [rule]), records, entity_type, comparisons)
+        rows = levels.groupBy(*(F.coalesce(f"g_{n}", F.lit(-1)).alias(n) for n in names)).agg(F.count("*").alias("n_pairs")).toPandas()
+        if not len(rows):
+            continue
+        odds = prior / (1 - prior) * float(np.prod([first[k][0] / u[k][0] for k in range(len(u)) if k not in free]))
+        p = expectation_maximisation(rows[names].to_numpy(int), rows["n_pairs"].to_numpy(float), [u[k] for k in free], float(np.clip(odds / (1 + odds), 1e-6, 1 - 1e-6)))
+        for k, m in zip(free, p.m, strict=True):
+            runs[k].append(m)
+        likelihood = p.likelihood
+    return Parameters(prior, [np.mean(r, axis=0) if r else f for r, f in zip(runs, first, strict=True)], u, likelihood)
 
 
 def score(pairs: DataFrame, records: DataFrame, entity_type: str, p: Parameters, comparisons: Sequence[Comparison] | None = None, matcher: str = "fellegi_sunter", accept: float = ACCEPT, reject: float = REJECT) -> DataFrame:

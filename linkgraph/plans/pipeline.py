@@ -58,11 +58,11 @@ def _scores(store: Store, one: Callable[[DataFrame, DataFrame, str], DataFrame])
 
 
 def match(store: Store, matcher: str = "rules") -> DataFrame:
-    """pair_scores of one matcher: 'rules' or 'fellegi_sunter'; the other's stay."""
+    """pair_scores of one matcher: 'rules', over candidate_pairs, or 'fellegi_sunter', over pairs of its own rules; the other's stay."""
     if matcher == "rules":
         made = _scores(store, lambda p, r, t: matching.score(matching.features(p, r, t), matching.WEIGHTS[t]))
     else:
-        made = _scores(store, lambda p, r, t: fellegi_sunter.score(p, r, t, fellegi_sunter.train(r, t)))
+        made = _scores(store, lambda _, r, t: fellegi_sunter.score(fellegi_sunter.blocked_pairs(r, t), r, t, fellegi_sunter.train(r, t)))
     return store.put(f"pair_scores_{matcher}", made)
 
 
