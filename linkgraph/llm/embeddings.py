@@ -89,7 +89,7 @@ def make_plan(sample: np.ndarray, budget: float, blocks: int, slabs: int) -> Pla
         edges = np.quantile(y[:, cuts[k]], np.linspace(0, 1, slabs + 1)[1:-1])
         wide = []
         for e in edges:
-            if not wide or e - wide[-1] >= np.sqrt(radius2[k]) + ROOM:
+            if not wide or e - wide[-1] >= np.sqrt(radius2[k] + 2 * ROOM):
                 wide.append(float(e))
         bounds.append(np.array(wide))
     return Plan(q, cuts, radius2, bounds)
@@ -154,13 +154,14 @@ def tile_links(x: np.ndarray, y: np.ndarray, ids: tuple[np.ndarray, np.ndarray],
 def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
     """Of vectors (row long, vector array) rows (kind, a, b): 'count' has the number b of links of a found in a task, 'edge' an edge of its spanning forest."""
     spark = vectors.sparkSession
-    kept = vectors.filter(F.col("vector").isNotNull() & (F.size("vector") > 0))
+    finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    kept = vectors.filter(F.col("vector").isNotNull() & finite & F.exists("vector", lambda v: v != 0))  # as unit_rows has it
     element = dict(vectors.dtypes)["vector"]
     total = kept.count()
-    rows = kept.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE).toArrow().combine_chunks()["vector"]
-    sample = unit_rows(rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows)[1] if total else np.zeros((0, 0))
-    if len(sample) < 2:
+    if total < 2:
         return spark.createDataFrame([], "kind string, a long, b long")
+    rows = kept.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE).toArrow().combine_chunks()["vector"]
+    sample = unit_rows(rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows)[1]
     dim = sample.shape[1]
     blocks = min(blocks, dim)
     plan = make_plan(sample, 2 - 2 * least, blocks, max(2, total // TILE))
