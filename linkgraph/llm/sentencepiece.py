@@ -1,8 +1,10 @@
 """SentencePiece encoding and decoding for merge-type vocabularies.
 
 The agenda holds adjacent symbol pairs by score; the best is merged, ties from the left, until none
-is in the vocabulary. No piece of such a vocabulary has a space mark behind another character, so a
-text falls apart before its runs of space marks, and each different part is encoded once a worker.
+is in the vocabulary. Where no piece holds two characters side by side, no merge can reach across them,
+so a text falls apart there: before runs of space marks, between letters and other characters, and
+around characters that no piece joins with others. A worker remembers the parts that it met lately, in
+a memory that is bounded by bytes.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable
-from itertools import chain
+from itertools import chain, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,11 +22,28 @@ from pyspark.sql import functions as F
 from linkgraph.llm.common import arrow_map
 
 SPACE = "▁"
-#: Parts that a worker remembers; when it holds more it forgets all and starts again. Results don't depend on it.
-MEMORY = 1_500_000
+#: Bytes of parts that a worker remembers, about. It has two halves: when the newer is full it becomes the older, and what
+#: the older held and hasn't been met since is forgotten. So frequent parts stay; results don't depend on it.
+MEMORY_BYTES = 48 << 20
+#: What a remembered part takes beside its characters and ids: its place in a dictionary, and the heads of a string and a tuple.
+_ENTRY_BYTES = 200
+#: Characters of parts whose agenda is a list.
+SHORT = 40
+_NEVER = float("inf")
 _LOADED: dict[str, Encoder] = {}
 
 
+def splitter(pieces: list[str]) -> re.Pattern[str]:
+    """Of a text with space marks, the parts that no merge reaches across, for a vocabulary with these pieces of two characters or more."""
+    beside = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
+    joined = {c for p in pieces for c in p} - {SPACE}
+    letters = {c for c in joined if c.isalnum()}
+    while glued := {c for b in beside if SPACE not in b and (b[0] in letters) != (b[1] in letters) for c in b if c in letters}:
+        letters -= glued
+    classes = ["[" + "".join(map(re.escape, sorted(s))) + "]+" for s in (letters, joined - letters) if s]
+    return re.compile(f"{SPACE}*(?:{'|'.join([*classes, f'[^{SPACE}]'])})|{SPACE}+$", re.DOTALL)
+
+
 class Encoder:
     """Encoder of a model of merge type with identity normalisation and byte fallback.
 
@@ -44,25 +63,56 @@ class Encoder:
         if train.model_type != 2 or norm.name != "identity" or norm.precompiled_charsmap or norm.remove_extra_whitespaces or not (norm.escape_whitespaces and train.byte_fallback):
             raise ValueError("the model isn't of merge type with identity normalisation and byte fallback")
         self.dummy = SPACE if norm.add_dummy_prefix else ""
-        self.pieces = {p.piece: (i, p.score) for i, p in enumerate(spec.pieces) if p.type == 1}
+        self.pieces = {p.piece: i for i, p in enumerate(spec.pieces) if p.type == 1}
+        self.costs = {p.piece: -p.score for p in spec.pieces if p.type == 1 and len(p.piece) > 1}
         if any(p.type not in (1, 2, 3, 6) for p in spec.pieces) or any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces):
             raise ValueError("the vocabulary has pieces of other kinds, or with a space mark inside")
+        whole = pb.ModelProto()
+        whole.CopyFrom(spec)
+        whole.normalizer_spec.add_dummy_prefix = False
+        self.by_part = sentencepiece.SentencePieceProcessor(model_proto=whole.SerializeToString())  # which takes a part as it is
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.end = self.library.eos_id()
         self.check = check
         self.known: dict[str, tuple[int, ...]] = {}
-        self.split = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$").findall
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
+        self.split = splitter([*self.costs]).findall
 
     def merge(self, part: str) -> tuple[int, ...]:
-        """Ids of a part by the score-ordered agenda."""
-        pieces, symbols = self.pieces, list(part)
-        n = len(symbols)
+        """Ids of a part by the score-ordered agenda: a list for a short part, a heap for a long one."""
+        symbols = list(part)
+        if len(symbols) > SHORT:
+            self.merge_long(symbols)
+        else:
+            cost = self.costs.get
+            agenda = [cost(a + b, _NEVER) for a, b in pairwise(symbols)]
+            while agenda and (best := min(agenda)) != _NEVER:
+                i = agenda.index(best)
+                del agenda[i]
+                symbols[i] = both = symbols[i] + symbols.pop(i + 1)
+                if i < len(agenda):
+                    agenda[i] = cost(both + symbols[i + 1], _NEVER)
+                if i:
+                    agenda[i - 1] = cost(symbols[i - 1] + both, _NEVER)
+        out: list[int] = []
+        for s in symbols:
+            if s:
+                if (hit := self.pieces.get(s)) is not None:
+                    out.append(hit)
+                else:
+                    out.extend(self.bytes[b] for b in s.encode())
+        return tuple(out)
+
+    def merge_long(self, symbols: list[str]) -> None:
+        """Merges symbols in place; those that went into another are empty."""
+        costs, n = self.costs, len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, int, str]] = []
         for i in range(n - 1):
             both = symbols[i] + symbols[i + 1]
-            if (hit := pieces.get(both)) is not None:
-                agenda.append((-hit[1], i, i + 1, both))
+            if (cost := costs.get(both)) is not None:
+                agenda.append((cost, i, i + 1, both))
         heapq.heapify(agenda)
         while agenda:
             _, i, j, both = heapq.heappop(agenda)
@@ -72,40 +122,36 @@ class Encoder:
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (hit := pieces.get(more := both + symbols[k])) is not None:
-                    heapq.heappush(agenda, (-hit[1], i, k, more))
-            if (h := before[i]) >= 0 and (hit := pieces.get(more := symbols[h] + both)) is not None:
-                heapq.heappush(agenda, (-hit[1], h, i, more))
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                if (hit := pieces.get(s)) is not None:
-                    out.append(hit[0])
-                else:
-                    out.extend(self.bytes[b] for b in s.encode())
-        return tuple(out)
+                if (cost := costs.get(more := both + symbols[k])) is not None:
+                    heapq.heappush(agenda, (cost, i, k, more))
+            if (h := before[i]) >= 0 and (cost := costs.get(more := symbols[h] + both)) is not None:
+                heapq.heappush(agenda, (cost, h, i, more))
 
     def parts(self, texts: Iterable[str]) -> list[list[str]]:
         """The texts' parts; those not met before are encoded, and checked as one batch."""
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        split, known = self.split, self.known
+        if self.held > MEMORY_BYTES // 2:
+            self.known, self.older, self.held = {}, self.known, 0
+        split, known, older, held = self.split, self.known, self.older, 0
         out = [split(self.dummy + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = {p for parts in out for p in parts if p not in known}
-        for p in new:
-            known[p] = self.merge(p)
+        new = []
+        for p in {p for parts in out for p in parts if p not in known}:
+            if (ids := older.get(p)) is None:
+                ids = self.merge(p)
+                new.append(p)
+            known[p] = ids
+            held += _ENTRY_BYTES + 4 * len(p) + 8 * len(ids)
+        self.held += held
         if self.check and new:
-            # The library puts its own mark before a text, so only parts that begin with one can be given to it alone.
-            marked = [p for p in new if p.startswith(SPACE) and p != self.dummy] if self.dummy else list(new)
-            for p, ids in zip(marked, self.library.encode([p[len(self.dummy) :] for p in marked], num_threads=1), strict=True):
+            for p, ids in zip(new, self.by_part.encode(new, num_threads=1), strict=True):
                 if tuple(ids) != known[p]:
                     raise ValueError(f"the agenda and the library differ on {p!r}")
         return out
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text, with the end id; null is an empty text."""
+        split = self.parts([t or "" for t in texts])
         ids = self.known.__getitem__
-        return [[*chain.from_iterable(map(ids, parts)), self.end] for parts in self.parts([t or "" for t in texts])]
+        return [[*chain.from_iterable(map(ids, parts)), self.end] for parts in split]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return [self.library.decode(x) for x in ids]

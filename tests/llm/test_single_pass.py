@@ -29,6 +29,17 @@ def test_sentencepiece_equals_the_library(spark):
     assert sentencepiece.encode(frame(spark, [(1, "a")]).limit(0), MODEL).count() == 0
 
 
+def test_sentencepiece_memory_is_bounded(monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abcdeéß.,;1\n") for _ in range(rng.randint(1, 90))) for _ in range(60)) + " the end" for _ in range(60)]
+    monkeypatch.setattr(sentencepiece, "MEMORY_BYTES", 100_000)
+    enc = sentencepiece.Encoder(MODEL)
+    for k in range(0, 60, 5):
+        assert enc.encode(texts[k : k + 5]) == enc.library.encode(texts[k : k + 5], add_eos=True)
+        assert len(enc.known) + len(enc.older) < 3 * 100_000 / 200
+    assert "▁the" in enc.known
+
+
 def test_sentencepiece_refuses_other_models(tmp_path):
     with pytest.raises(Exception):
         sentencepiece.Encoder(str(tmp_path / "none.model"))
