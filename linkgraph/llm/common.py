@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -24,20 +26,36 @@ U64 = np.uint64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none, as in tests."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where a session has none it gets one here if it is all in one process, as in tests; on a cluster
+    that is an error, as a folder of one machine goes with it.
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = "/tmp/linkgraph-shared"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = f"{tempfile.gettempdir()}/linkgraph-{spark.sparkContext.applicationId}"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A path of its own below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path of its own below the shared folder. What is left of it goes when the application ends; operators remove earlier what they no longer read."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    _left_to_exit(fs, p)
+    return path
+
+
+def _left_to_exit(fs: object, p: object) -> None:
+    """deleteOnExit only takes a path that exists."""
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    fs.delete(p, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -49,7 +67,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files that nothing refers to any more."""
+    """Lets Spark delete shuffle files that nothing refers to any more: it does so only for what the driver's collectors have found dead."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -67,6 +85,14 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -98,7 +124,7 @@ def give_back() -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Holds the session to ARROW_ROWS rows a batch."""
+    """Holds the session to ARROW_ROWS rows a batch, for good: plans read the setting when they run. The README names it as a requirement."""
     if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 

@@ -25,10 +25,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import U64, KeyFilter, arrow_map, doc_key, give_back, mix, prefix_sums, range_hash, saved, scratch, slices, small_batches, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import U64, KeyFilter, arrow_map, doc_key, fresh, give_back, mix, prefix_sums, range_hash, saved, scratch, slices, small_batches, text_bytes, word_hashes, words_of
 from linkgraph.operators.components import connected_components
 
 POSTED = 40
@@ -335,17 +335,20 @@ def confirm_within(groups: DataFrame, hot: Broadcast[np.ndarray], like: Likeness
     return groups.select("token", "i", "j", "_own", "rep", "comp", "n", "sig", "_text").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def classes(rows: DataFrame, like: Likeness) -> DataFrame:
-    """_id, _key, n and component of each of rows (_id, _key, _text); documents without shingles or id are components of their own."""
+def classes(rows: DataFrame, like: Likeness, node: str = "_id") -> DataFrame:
+    """_id, _key, n and component of each of rows (_id, _key, _text); documents without shingles or node are components of their own.
+
+    node is the column that tells documents apart and of which a component is the smallest: _id or _key.
+    """
     spark = rows.sparkSession
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         return saved(df, scratch(spark, f"minhash-{name}"))
 
     sigs = keep(signatures(rows, like), "signatures")
-    usable = sigs.filter("n > 0 and _id is not null")
-    chosen = usable.groupBy("d1", "d2").agg(F.min("_id").alias("rep"))
-    reps = keep(usable.join(chosen, ["d1", "d2"]).filter("_id = rep").dropDuplicates(["d1", "d2"]).select("d1", "d2", "rep", "_key", "n", "sig"), "classes")
+    usable = sigs.filter(f"n > 0 and {node} is not null")
+    chosen = usable.groupBy("d1", "d2").agg(F.min(node).alias("rep"))
+    reps = keep(usable.join(chosen, ["d1", "d2"]).filter(f"{node} = rep").dropDuplicates(["d1", "d2"]).select("d1", "d2", "rep", "_key", "n", "sig"), "classes")
     hot = spark.sparkContext.broadcast(frequent(reps))
     posted = postings(reps, hot, like)
     sizes = posted.groupBy("token").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).filter("size > 1")
@@ -354,7 +357,7 @@ def classes(rows: DataFrame, like: Likeness) -> DataFrame:
 
     def texts(asked: DataFrame) -> DataFrame:
         named = asked.join(reps.select("rep", "_key"), "rep")
-        return KeyFilter(named, "_key").keep(rows, "_key").join(named.withColumnRenamed("_key", "_k"), (F.col("_key") == F.col("_k")) & (F.col("_id") == F.col("rep"))).dropDuplicates(["rep"]).select("rep", "_text")
+        return KeyFilter(named, "_key").keep(rows, "_key").join(named.withColumnRenamed("_key", "_k"), (F.col("_key") == F.col("_k")) & (F.col(node) == F.col("rep"))).dropDuplicates(["rep"]).select("rep", "_text")
 
     star = lists.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     star = star.join(slim.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b").join(slim.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")
@@ -372,7 +375,7 @@ def classes(rows: DataFrame, like: Likeness) -> DataFrame:
     links = links.unionByName(keep(confirm_within(held, hot, like), "links"))
     found = connected_components(links, "a", "b")
     named = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.coalesce("component", "rep").alias("component"))
-    return sigs.join(named, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & (F.col("n") > 0) & F.col("_id").isNotNull(), "left").select("_id", "_key", "n", F.coalesce("component", "_id").alias("component"))
+    return sigs.join(named, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & (F.col("n") > 0) & F.col(node).isNotNull(), "left").select("_id", "_key", "n", F.coalesce("component", node).alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = Likeness()) -> DataFrame:  # noqa: B008
@@ -386,6 +389,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = Likeness()) -> DataFrame:  # noqa: B008
-    """docs without those that a document of smaller id is linked with, over any number of links; all columns stay."""
-    drop = near_duplicates(docs, id_col, text_col, like).filter(~F.col("kept")).select(F.col(id_col).alias("_drop")).distinct()
-    return docs.join(drop, docs[id_col] == F.col("_drop"), "left_anti")
+    """docs with one row of each group that links join, over any number of links; all columns stay.
+
+    The row of smallest id stays, of equal ids that of the smallest hash of id and text; rows without id
+    come last. Rows are told apart by id and text (64 bits of them), so rows of one id and different
+    texts are documents of their own. Of rows equal in both one stays, that of the smallest hash of all
+    columns. Rows without words are linked with nothing and all stay.
+    """
+    key = fresh(docs, "_row")
+    rows = doc_key(docs, id_col, text_col)
+    found = saved(classes(rows, like, "_key"), scratch(docs.sparkSession, "minhash-classes")).filter("n > 0")
+    order = F.struct(F.col("_id").isNull().alias("late"), F.col("_id"), F.col("_key"))
+    chosen = found.groupBy("component").agg(F.min(order).alias("c"), F.count("*").alias("k")).filter("k > 1").select("component", F.col("c._key").alias("stays"))
+    drop = found.join(chosen, "component").filter("_key <> stays").select(F.col("_key").alias(key)).distinct()
+    out = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col).cast("string")))
+    out = out.join(drop, key, "left_anti")
+    again = found.groupBy("_key").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("_key").alias(key))
+    if not again.isEmpty():
+        place = fresh(docs, "_place")
+        several = out.join(again, key, "left_semi").withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*docs.columns)))).filter(F.col(place) == 1).drop(place)
+        out = out.join(again, key, "left_anti").unionByName(several)
+    return out.drop(key).select(*docs.columns)

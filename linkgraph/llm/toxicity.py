@@ -8,6 +8,7 @@ score's log odds is a penalty, so that naming a group doesn't move a score.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import BYTE, LOWER, arrow_map, mix, prefix_sums, range_hash, text_bytes, words_of
+from linkgraph.llm.common import BYTE, LOWER, arrow_map, fresh, mix, prefix_sums, range_hash, text_bytes, words_of
 
 BITS = 18
 #: The model is fitted on at most so many labelled rows, those of smallest xxhash64(doc_id).
@@ -23,17 +24,68 @@ MAX_TRAIN = 20_000
 THRESHOLD = 0.7
 #: About what chance alone gives to one of 2**18 features.
 EVIDENCE = 20.0
-# Terms that name groups of people, by group.
+# Terms that name groups of people, by language and group.
 IDENTITY_TERMS = {
-    "faith": ["christian", "muslim", "jewish", "hindu", "buddhist", "atheist", "catholic", "sikh"],
-    "gender": ["woman", "man", "girl", "boy", "transgender", "nonbinary"],
-    "orientation": ["gay", "lesbian", "bisexual", "straight", "queer"],
-    "origin": ["african", "asian", "european", "latino", "arab", "american", "mexican", "chinese", "indian"],
-    "colour": ["black", "white", "brown"],
-    "ability": ["blind", "deaf", "disabled", "autistic"],
+    "en": {
+        "faith": ["christian", "muslim", "jewish", "hindu", "buddhist", "atheist", "catholic", "sikh"],
+        "faiths": ["christians", "muslims", "jews", "hindus", "buddhists", "atheists", "catholics", "sikhs"],
+        "gender": ["woman", "man", "girl", "boy"],
+        "genders": ["women", "men", "girls", "boys"],
+        "identity": ["transgender", "cisgender", "nonbinary", "trans"],
+        "orientation": ["gay", "lesbian", "bisexual", "straight", "queer", "homosexual", "heterosexual"],
+        "origin": ["african", "asian", "european", "latino", "arab", "american", "mexican", "chinese", "indian"],
+        "origins": ["africans", "asians", "europeans", "latinos", "arabs", "americans", "mexicans", "indians"],
+        "colour": ["black", "white", "brown"],
+        "ability": ["blind", "deaf", "disabled", "autistic"],
+    },
+    "fr": {
+        "faith": ["chrétien", "musulman", "juif", "hindou", "bouddhiste", "athée", "catholique"],
+        "faiths": ["chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées", "catholiques"],
+        "gender": ["femme", "homme", "fille", "garçon"],
+        "genders": ["femmes", "hommes", "filles", "garçons"],
+        "orientation": ["gai", "lesbienne", "bisexuel", "hétérosexuel", "homosexuel"],
+        "origin": ["africain", "asiatique", "européen", "arabe", "américain", "mexicain", "chinois", "indien"],
+        "colour": ["noir", "blanc"],
+        "ability": ["aveugle", "sourd", "handicapé", "autiste"],
+    },
+    "de": {
+        "faith": ["christ", "moslem", "jude", "hindu", "buddhist", "atheist", "katholik"],
+        "faiths": ["christen", "muslime", "juden", "hindus", "buddhisten", "atheisten", "katholiken"],
+        "gender": ["frau", "mann", "mädchen", "junge"],
+        "genders": ["frauen", "männer", "mädchen", "jungen"],
+        "orientation": ["schwul", "lesbisch", "bisexuell", "heterosexuell", "homosexuell"],
+        "origin": ["afrikaner", "asiate", "europäer", "araber", "amerikaner", "mexikaner", "chinese", "inder"],
+        "colour": ["schwarz", "weiß"],
+        "ability": ["taub", "behindert", "autistisch"],
+    },
+    "es": {
+        "faith": ["cristiano", "musulmán", "judío", "hindú", "budista", "ateo", "católico"],
+        "faiths": ["cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos", "católicos"],
+        "gender": ["mujer", "hombre", "niña", "niño"],
+        "genders": ["mujeres", "hombres", "niñas", "niños"],
+        "orientation": ["lesbiana", "bisexual", "heterosexual", "homosexual"],
+        "origin": ["africano", "asiático", "europeo", "árabe", "americano", "mexicano", "chino", "indio"],
+        "colour": ["negro", "blanco"],
+        "ability": ["ciego", "sordo", "discapacitado", "autista"],
+    },
 }
 
 
+def _groups() -> dict[str, tuple[list[str], int]]:
+    """Each term's group and its place there; a term of several languages is of the first."""
+    out: dict[str, tuple[list[str], int]] = {}
+    for terms in IDENTITY_TERMS.values():
+        for group in terms.values():
+            for k, t in enumerate(group):
+                out.setdefault(t, (group, k))
+    return out
+
+
+_GROUP_OF = _groups()
+# A mention is a whole word: what stands before and behind it is neither a letter nor a digit.
+_MENTION = re.compile(rf"(?<![^\W_])(?:{'|'.join(sorted(_GROUP_OF, key=len, reverse=True))})(?![^\W_])", re.IGNORECASE)
+
+
 def features(col: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Row and feature of each feature that a text has, once each, by row; only wanted ones if that is given."""
     raw, off = text_bytes(col)
@@ -52,17 +104,25 @@ def features(col: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarra
 
 
 def swapped(text: str, row: int) -> tuple[str, str]:
-    """The text with a mention, and its counterfactual."""
-    other = {t: g[(k + 1 + row % (len(g) - 1)) % len(g)] for g in IDENTITY_TERMS.values() for k, t in enumerate(g)}
-    words = text.split(" ")
-    new = [other.get(w.lower(), w) for w in words]
-    if new != words:
-        return text, " ".join(new)
-    group = [*IDENTITY_TERMS.values()][row % len(IDENTITY_TERMS)]
-    a = row // len(IDENTITY_TERMS) % len(group)
+    """The text with a mention, and its counterfactual: each mention, whatever its case and what stands around it, is another of its group."""
+    new = _MENTION.sub(lambda m: _other(m[0], row), text)
+    if new != text:
+        return text, new
+    groups = [g for terms in IDENTITY_TERMS.values() for g in terms.values()]
+    group = groups[row % len(groups)]
+    a = row // len(groups) % len(group)
     return f"{text} {group[a]}", f"{text} {group[(a + 1) % len(group)]}"
 
 
+def _other(word: str, row: int) -> str:
+    """Another term of the word's group and language, cased as the word is."""
+    if word.lower() not in _GROUP_OF:  # matched by a letter that only folds to one of the term's
+        return word
+    group, k = _GROUP_OF[word.lower()]
+    new = group[(k + 1 + row % (len(group) - 1)) % len(group)]
+    return new.upper() if word.isupper() and len(word) > 1 else new.capitalize() if word[:1].isupper() else new
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -98,7 +158,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarr
         return Model(w.astype(np.float32), b)
     seen, seen_b, rng = np.full(1 << BITS, 1e-6), 1e-6, np.random.default_rng(seed)
     keep = telling([t[0] for t in texts], labels)
-    keep[features(pa.array([t for g in IDENTITY_TERMS.values() for t in g]))[1]] = True
+    keep[features(pa.array([form for t in _GROUP_OF for form in (t, t.capitalize(), t.upper())]))[1]] = True
     texts = [tuple(v[keep[v]] for v in t) for t in texts]
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5
@@ -169,4 +229,4 @@ def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: flo
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(np.round(sent.value.scores(batch.column(batch.num_columns - 1)), 9) < threshold)).select(batch.schema.names[:-1])
 
-    return arrow_map(docs.withColumn("_score_text", F.col(text_col).cast("string")), run, ", ".join(f"`{c}` {k}" for c, k in docs.dtypes))
+    return arrow_map(docs.withColumn(fresh(docs, "_score_text"), F.col(text_col).cast("string")), run, ", ".join(f"`{c}` {k}" for c, k in docs.dtypes))

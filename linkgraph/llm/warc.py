@@ -1,9 +1,11 @@
 """WARC archives: a writer with revisit records and a splittable reader.
 
-Each record is a gzip member of its own. A reading task gets a byte range, scans it for the gzip magic,
+Each record is a gzip member of its own. A reading task gets byte ranges, scans each for the gzip magic,
 takes a place for a member only if its beginning decodes to a WARC version line, and owns the records
-that begin inside its range, reading past the end of the range for the last. Files are reached through
-pyarrow's file systems, so the archives may be wherever the shared folder is.
+that begin inside its range, reading past the end of the range for the last. Members follow one another
+without gaps: each reader also looks whether one begins where its last record ends, so a damaged or
+lost member is an error wherever it lies. Files are reached through pyarrow's file systems, so the
+archives may be wherever the shared folder is.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import cut, scratch, small_batches
+from linkgraph.llm.common import cut, remove, saved, scratch, small_batches
 
 MAGIC = b"\x1f\x8b\x08"
 #: Payloads of fewer bytes are always stored.
 LEAST_REVISIT = 100
 SPLIT_BYTES = 4 << 20
+#: Splits of about so many bytes go to a task, where there are more splits than cores.
+TASK_BYTES = 64 << 20
 #: Bytes read at a time past a range's end, and inflated at a time.
 STEP = 1 << 18
 DATE = "2024-01-01T00:00:00Z"
@@ -131,25 +135,39 @@ class Window:
 
 
 def member_at(w: Window, at: int) -> tuple[bytes, int] | None:
-    """The record in the member at that place and the place after it; None if no WARC member is there."""
+    """The record in the member at that place and the place after it; None if no WARC member begins there. A member that begins and doesn't decode is an error."""
     z, out, pos = zlib.decompressobj(31), bytearray(), at
     try:
         while not z.eof:
             if not w.fill(pos):
+                if out.startswith(b"WARC/1"):
+                    raise ValueError(f"the record at byte {at} is cut off")
                 return None
             chunk = bytes(w.data[pos - w.start : pos - w.start + (1024 if pos == at else STEP)])
             out += z.decompress(chunk)
             pos += len(chunk)
             if len(out) >= 6 and not out.startswith(b"WARC/1"):
                 return None
-    except zlib.error:
+    except zlib.error as e:
+        if out.startswith(b"WARC/1"):
+            raise ValueError(f"the record at byte {at} is damaged: {e}") from e
         return None
     return (bytes(out), pos - len(z.unused_data)) if out.startswith(b"WARC/1") else None
 
 
-def records_in(f: pa.NativeFile, start: int, end: int, size: int) -> Iterator[bytes]:
-    """The records that begin in the file from start to before end."""
+def begins_at(w: Window, at: int) -> bool:
+    """Whether a WARC member begins there, by its first bytes."""
+    w.fill(min(at + 1024, w.size) - 1)
+    try:
+        return zlib.decompressobj(31).decompress(bytes(w.data[at - w.start : at - w.start + 1024]), 6).startswith(b"WARC/1")
+    except zlib.error:
+        return False
+
+
+def records_in(f: pa.NativeFile, start: int, end: int, size: int, strict: bool = True) -> Iterator[bytes]:
+    """The records that begin in the file from start to before end. If strict, bytes that belong to no record are an error; else they and damaged records are passed over."""
     w, at = Window(f, start, size), start
+    due = 0 if start == 0 else None  # where a record must begin, once that is known
     w.fill(min(end, size) - 1)
     while at < end:
         w.fill(min(at + STEP, size) - 1)
@@ -157,26 +175,39 @@ def records_in(f: pa.NativeFile, start: int, end: int, size: int) -> Iterator[by
         if k < 0:
             at = max(at, w.start + len(w.data) - 2)
             if not w.fill(w.start + len(w.data)):
-                return
-            continue
-        at = w.start + k
-        if at >= end:
+                at = end
+            if not strict or due is None or at <= due:
+                continue
+        else:
+            at = w.start + k
+        if strict and due is not None and at > due:
+            raise ValueError(f"no record begins at byte {due}, where the one before it ends")
+        if k < 0 or at >= end:
             return
-        got = member_at(w, at)
+        try:
+            got = member_at(w, at)
+        except ValueError:
+            if strict:
+                raise
+            got = None
         if got is None:
             at += 1
         else:
             yield got[0]
-            at = got[1]
+            due = at = got[1]
         w.drop(at)
+    if strict and due is not None and end <= due < size and not begins_at(w, due):
+        raise ValueError(f"no record begins at byte {due}, where the one before it ends")
 
 
-def read(manifest: DataFrame, digests: bool = False, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The records of the archives that manifest lists (file, bytes), by ranges of split_bytes.
+def read(manifest: DataFrame, digests: bool = False, split_bytes: int = SPLIT_BYTES, strict: bool = True) -> DataFrame:
+    """The records of the archives that manifest lists (file, bytes), by ranges of split_bytes, dealt out evenly to tasks.
 
     page_id, url, record_type, refers_to, payload_bytes and payload_digest; and payload (null for
     revisits) unless digests is set. A response's length and digest are taken from its payload, and
-    must be those in its header; a revisit's are of the payload that it stands for.
+    must be those in its header; a revisit's are of the payload that it stands for. A damaged, cut off
+    or lost record is an error that names its place; with strict=False such records are passed over,
+    to be counted against the manifest's `records`.
     """
     last = "" if digests else ", payload binary"
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", *([] if digests else ["payload"])]
@@ -187,7 +218,7 @@ def read(manifest: DataFrame, digests: bool = False, split_bytes: int = SPLIT_BY
             for name, start, size in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 rows, held = [], 0
                 with file_system(name)[0].open_input_file(name.partition("://")[2] or name) as f:
-                    for data in records_in(f, start, min(start + split_bytes, size), size):
+                    for data in records_in(f, start, min(start + split_bytes, size), size, strict):
                         h, payload = parse(data)
                         sha, kind = h["warc-payload-digest"].removeprefix("sha256:"), h["warc-type"]
                         if kind == "response" and (hashlib.sha256(payload).hexdigest() != sha or len(payload) != int(h["x-payload-length"])):
@@ -202,10 +233,20 @@ def read(manifest: DataFrame, digests: bool = False, split_bytes: int = SPLIT_BY
                     yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     start: Column = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long")))
-    splits = manifest.select("file", start.alias("start"), "bytes").repartition("file", "start")
+    total, n = manifest.filter("bytes > 0").agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("bytes") / split_bytes)), F.lit(0))).first()
+    # A number of its own, which adaptive execution leaves alone: the rows that name the splits are tiny, the splits are not.
+    tasks = max(1, -(-total // TASK_BYTES), min(n, 4 * manifest.sparkSession.sparkContext.defaultParallelism))
+    splits = manifest.filter("bytes > 0").select("file", start.alias("start"), "bytes").repartition(tasks)
     return splits.mapInArrow(run, f"page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string{last}")
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", body_col: str = "html") -> DataFrame:
-    """What reading gives back after writing all pages; one row per row of pages."""
-    return read(write(pages, scratch(pages.sparkSession, "warc"), id_col, body_col), digests=True)
+    """What reading gives back after writing all pages; one row per row of pages. The archives are removed once they have been read."""
+    spark = pages.sparkSession
+    path = scratch(spark, "warc")
+    written = write(pages, path, id_col, body_col)
+    out = saved(read(written, digests=True), scratch(spark, "warc-records"))
+    remove(spark, path)
+    if (want := written.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]) != (got := out.count()):
+        raise ValueError(f"{want} records were written and {got} read")
+    return out

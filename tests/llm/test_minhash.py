@@ -73,3 +73,13 @@ def test_keep_one_keeps_columns(spark):
     df = spark.createDataFrame([(2, "a b c d e f g", 5), (1, "a b c d e f g", 6), (3, "other words are here now", 7), (4, None, 8)], "doc_id long, text string, n long")
     out = minhash.keep_one(df)
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
+
+
+def test_keep_one_row_of_each_group(spark):
+    one, two, other = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(58)), " ".join(f"v{k}" for k in range(60))
+    rows = [(1, one, "a"), (7, two, "a"), (7, other, "b"), (7, other, "c"), (8, other, "d"), (None, one, "e"), (None, "its own words " * 9, "f"), (None, "its own words " * 9, "g"), (9, "", "h"), (9, "", "i"), (10, None, "j"), (None, None, "k")]
+    docs = spark.createDataFrame([(i, t, c, c) for i, t, c in rows], "doc_id long, text string, _row string, component string")
+    got = sorted((r.doc_id or 0, r.text or "", r._row) for r in minhash.keep_one(docs).collect())
+    assert minhash.keep_one(docs).columns == docs.columns
+    assert [(i, t) for i, t, _ in got] == sorted([(0, ""), (0, "its own words " * 9), (1, one), (7, other), (9, ""), (9, ""), (10, "")])
+    assert minhash.keep_one(docs.limit(0)).count() == 0
