@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from itertools import chain, pairwise
 
 import pyarrow as pa
@@ -164,16 +164,21 @@ def encoder(model_file: str, check: bool = True) -> Encoder:
     return _LOADED[model_file]
 
 
-def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, check: bool = True) -> DataFrame:
-    """One row per row of docs: its id, n_tokens, then ids and decoded, or their SHA-256 if digests is set.
+def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, check: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per row of docs: its id, n_tokens, then ids and decoded, or their SHA-256 if digests is set, then the columns to keep.
 
     ids ends with the end id; decoded is the library's decode(ids). A null or empty text has the end
-    id only. Repeated rows and ids give repeated rows; columns other than the two named are not read.
+    id only. Repeated rows and ids give repeated rows; columns other than those named are not read. A
+    column to keep whose name is one of those made here, in any case, is an error.
     model_file must be readable on every executor, as an installed package is.
     """
     kind = dict(docs.dtypes)[id_col]
     schema = f"{id_col} {kind}, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
     names = [id_col, "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))]
+    if clash := {c.lower() for c in keep} & {c.lower() for c in names}:
+        raise ValueError(f"can't keep {sorted(clash)}: results have these names")
+    schema = ", ".join([schema, *(f"`{c}` {dict(docs.dtypes)[c]}" for c in keep)])
+    names = [*names, *keep]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(model_file, check)
@@ -185,6 +190,6 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             last = [pa.array([hashlib.sha256(" ".join(map(names_of.__getitem__, x)).encode()).hexdigest() for x in ids], pa.string()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())]
         else:
             last = [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
-        return pa.RecordBatch.from_arrays([batch.column(0), counts, *last], names=names)
+        return pa.RecordBatch.from_arrays([batch.column(0), counts, *last, *batch.columns[2:]], names=names)
 
-    return arrow_map(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")), run, schema)
+    return arrow_map(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"), *keep), run, schema)
