@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkgraph.llm import decontaminate, minhash, pii, sentencepiece, toxicity
-from linkgraph.llm.common import scratch, table
+from linkgraph.llm.common import remove, scratch, table
 from linkgraph.llm.queries import piece_model
 
 
@@ -25,13 +26,13 @@ def stage_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by marks; n_chars stays that of the source."""
-    return pii.redact(docs, pii.train(docs))
+    """Replaces personal data by marks; n_chars is then that of the new text."""
+    return pii.redact(docs, pii.train(docs)).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document with the end id, and the text that they decode to."""
-    return sentencepiece.encode(docs, piece_model())
+    """Token ids of each document with the end id, and the text that they decode to, beside lang and source."""
+    return sentencepiece.encode(docs, piece_model(), keep=["lang", "source"])
 
 
 STAGES = [
@@ -45,10 +46,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's rows are written as Parquet in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; each stage's rows are written as Parquet in the shared folder and read again, and those of the stage before removed."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
