@@ -401,6 +401,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", li
     found = saved(classes(rows, like, "_key"), scratch(docs.sparkSession, "minhash-classes")).filter("n > 0")
     order = F.struct(F.col("_id").isNull().alias("late"), F.col("_id"), F.col("_key"))
     chosen = found.groupBy("component").agg(F.min(order).alias("c"), F.count("*").alias("k")).filter("k > 1").select("component", F.col("c._key").alias("stays"))
+    chosen = saved(chosen, scratch(docs.sparkSession, "minhash-chosen"))  # apart from the join, so that a large group can be split there
     drop = found.join(chosen, "component").filter("_key <> stays").select(F.col("_key").alias(key)).distinct()
     out = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col).cast("string")))
     out = out.join(drop, key, "left_anti")
