@@ -155,14 +155,19 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
     """Of vectors (row long, vector array) rows (kind, a, b): 'count' has the number b of links of a found in a task, 'edge' an edge of its spanning forest."""
     spark = vectors.sparkSession
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
-    kept = vectors.filter(F.col("vector").isNotNull() & finite & F.exists("vector", lambda v: v != 0))  # as unit_rows has it
-    element = dict(vectors.dtypes)["vector"]
-    total = kept.count()
-    if total < 2:
-        return spark.createDataFrame([], "kind string, a long, b long")
+    usable = vectors.filter(F.col("vector").isNotNull() & finite & F.exists("vector", lambda v: v != 0))  # as unit_rows has it
+    found = spark.createDataFrame([], "kind string, a long, b long")
+    # A table has as many lengths as models that made it: few.
+    for dim, total in usable.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).filter("n > 1").orderBy("dim").collect():
+        found = found.unionByName(links_of(usable.filter(F.size("vector") == dim), total, dim, least, blocks))
+    return found
+
+
+def links_of(kept: DataFrame, total: int, dim: int, least: float, blocks: int) -> DataFrame:
+    """links() for `total` vectors of one length that can all be linked."""
+    spark, element = kept.sparkSession, dict(kept.dtypes)["vector"]
     rows = kept.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE).toArrow().combine_chunks()["vector"]
-    sample = unit_rows(rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows)[1]
-    dim = sample.shape[1]
+    sample = unit_rows(rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows, dim)[1]
     blocks = min(blocks, dim)
     plan = make_plan(sample, 2 - 2 * least, blocks, max(2, total // TILE))
     sent = spark.sparkContext.broadcast(plan)
@@ -237,8 +242,8 @@ def links(vectors: DataFrame, least: float, blocks: int = BLOCKS) -> DataFrame:
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9) -> DataFrame:
     """Per row of vectors: its id, n_links (other rows with a cosine of at least `least`), component_id (smallest id reachable) and kept.
 
-    Vectors that are null, empty, zero, hold null or non-finite components or aren't as long as the rest
-    link with nothing; so do rows without id, which have no component and are kept. Rows of one id are
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and
+    vectors only with others of their length. Rows without id link with nothing, have no component and are kept. Rows of one id are
     linked as different vectors are, and each counts.
     """
     found = cut(links(vectors.select(F.col(id_col).cast("long").alias("row"), F.col(vector_col).alias("vector")).filter("row is not null"), least))

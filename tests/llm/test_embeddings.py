@@ -52,3 +52,9 @@ def test_small_tables(spark):
 def test_forest_joins_what_links_join():
     a, b = np.array([5, 7, 9, 2, 9]), np.array([7, 9, 5, 3, 7])
     assert sorted(map(tuple, embeddings.forest(a, b).T.tolist())) == [(3, 2), (7, 5), (9, 5)]
+
+
+def test_vectors_of_several_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [2.0, 0.1]), (4, [1.0, 0.0, 0.1]), (5, [1.0]), (6, []), (7, None), (8, [0.0, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (1, 1), 4: (1, 2), 5: (0, 5), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
