@@ -147,6 +147,22 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
         start = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """All rows of batches in pieces whose strings have about limit bytes, across batches; a longer text is a piece of its own."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in slices(batch, max(1, limit // 8)):
+            own = sum(c.get_total_buffer_size() if pa.types.is_nested(c.type) else c.nbytes for c in part.columns)
+            if held and size + own > limit:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(part)
+            size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the column, one text after the other, and the n + 1 offsets; null is empty."""
     if col.null_count:

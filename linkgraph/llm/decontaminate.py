@@ -1,29 +1,35 @@
 """Benchmark decontamination by suffix arrays of the training texts.
 
-Each slice of the training texts is a shard. Its word suffixes are sorted by prefix doubling, no
-deeper than the longest benchmark item, as no match is longer; then every suffix of every item is
-found by binary search, which gives its longest verbatim match, and the places of those that reach a
-window. Words are compared by their 64-bit hashes.
+The training texts of a task are shards of SHARD_BYTES. A shard's word suffixes are sorted by prefix
+doubling, no deeper than the longest benchmark item, as no match is longer; then every suffix of every
+item is found by binary search, which gives its longest verbatim match, and the places of those that
+reach a window. Words are compared by their 64-bit hashes.
 
-The benchmark goes to the executors in blocks of at most BLOCK_BYTES, however large it is; each shard
-is held against one block after the other.
+The benchmark is written to the shared folder in blocks of about BLOCK_BYTES, by tasks, and each shard
+is held against one block after the other; a worker holds few of them, however large the benchmark is.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import arrow_map, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import cut, fresh, gathered, give_back, scratch, small_batches, text_bytes, word_hashes, words_of
+from linkgraph.llm.warc import file_system
 
 WINDOW = 10
+HIT = "_n_hit"
 BLOCK_BYTES = 4 << 20
+#: Text of one suffix array; a longer document is a shard of its own.
+SHARD_BYTES = 6 << 20
 
 
 @dataclass
@@ -35,24 +41,47 @@ class Block:
     off: np.ndarray
 
 
-def make_block(rows: list[tuple[str, str]]) -> Block:
-    raw, off = text_bytes(pa.array([t for _, t in rows], pa.string()))
+def make_block(ids: list[str], texts: list[str]) -> Block:
+    raw, off = text_bytes(pa.array(texts, pa.string()))
     starts, ends, item = words_of(raw, off, "alnum")
-    n = np.bincount(item, minlength=len(rows))
-    return Block([i for (i, _), k in zip(rows, n, strict=True) if k], word_hashes(raw, starts, ends, lower=True), np.concatenate([[0], np.cumsum(n[n > 0])]))
-
-
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, limit: int = BLOCK_BYTES) -> list[Broadcast[Block]]:
-    """The benchmark as broadcasts of at most limit bytes of text (a longer item has its own); the driver holds one at a time."""
-    out, rows, size = [], [], 0
-    send = benchmark.sparkSession.sparkContext.broadcast
-    for r in benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).na.drop().toLocalIterator():
-        if rows and size + len(r[1].encode()) > limit:
-            out.append(send(make_block(rows)))
-            rows, size = [], 0
-        rows.append((r[0], r[1]))
-        size += len(r[1].encode())
-    return [*out, send(make_block(rows))] if rows else out
+    n = np.bincount(item, minlength=len(ids))
+    return Block([i for i, k in zip(ids, n, strict=True) if k], word_hashes(raw, starts, ends, lower=True), np.concatenate([[0], np.cumsum(n[n > 0])]))
+
+
+def write_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[str]:
+    """Files of the benchmark's blocks, of about BLOCK_BYTES of text each (a longer item has its own). The driver gets their names only."""
+    folder = scratch(benchmark.sparkSession, "benchmark")
+    limit = BLOCK_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, at = file_system(folder)
+        fs.create_dir(at, recursive=True)
+        for k, part in enumerate(gathered(batches, limit)):
+            name = f"{at}/block-{TaskContext.get().taskAttemptId()}-{k}.arrow"
+            block = make_block(part.column(0).to_pylist(), part.column(1).to_pylist())
+            off = pa.array(block.off, pa.int64())
+            lists = pa.LargeListArray.from_arrays(off, pa.array(block.words.view(np.int64)))
+            table = pa.table([pa.array(block.ids, pa.string()), lists], names=["id", "words"])
+            with fs.open_output_stream(name, compression=None) as f, pa.ipc.new_file(f, table.schema) as w:
+                w.write_table(table)
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name.rpartition('/')[2]}"])], names=["file"])
+
+    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).na.drop()
+    tasks = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // limit))
+    small_batches(benchmark.sparkSession)
+    # A lost task's file has another name when it is written again, so names come from what has ended.
+    return sorted(r.file for r in cut(rows.coalesce(tasks).mapInArrow(run, "file string")).collect())
+
+
+@lru_cache(maxsize=4)
+def block_in(file: str) -> Block:
+    fs, at = file_system(file)
+    with fs.open_input_file(at) as f:
+        t = pa.ipc.open_file(f).read_all().combine_chunks()
+    if not t.num_rows:
+        return Block([], np.zeros(0, np.uint64), np.zeros(1, np.int64))
+    lists = t["words"].chunk(0)
+    return Block(t["id"].to_pylist(), lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy())
 
 
 class Shard:
@@ -168,10 +197,10 @@ def measure(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     longest_match (most consecutive words of one item found verbatim), longest_item, longest_at (its
     first word in the document). Null and empty texts have no words; items without id, text or words
     are left out; a benchmark without items finds nothing. With keep, all columns of docs come first,
-    under their own names, and n_hit as _n_hit alone behind them.
+    under their own names, and n_hit alone behind them, under HIT or a name like it that docs doesn't have.
     """
-    sent = blocks_of(benchmark, item_col, text_col)
-    id_kind = dict(docs.dtypes)[id_col]
+    files = write_blocks(benchmark, item_col, text_col)
+    id_kind, hit_name = dict(docs.dtypes)[id_col], fresh(docs, HIT)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw, off = text_bytes(batch.column(batch.num_columns - 1))
@@ -180,8 +209,8 @@ def measure(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         first = np.searchsorted(doc, np.arange(n + 1))
         hit, items, longest = np.zeros(len(words) + 1, np.int64), [set() for _ in range(n)], [(0, None, None)] * n
         shard, depth = None, 0
-        for b in sent:
-            block = b.value
+        for file in files:
+            block = block_in(file)
             most = int(np.diff(block.off).max(initial=0))
             if shard is None or depth < most:
                 shard, depth = Shard(words, doc, most), most
@@ -201,17 +230,23 @@ def measure(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         inside = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
         n_hit = inside[first[1:]] - inside[first[:-1]]
         if keep:
-            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n_hit)], names=[*batch.schema.names[:-1], "_n_hit"])
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n_hit)], names=[*batch.schema.names[:-1], hit_name])
         named = [",".join(sorted(x)) for x in items]
         cols = [batch.column(0), pa.array(np.diff(first)), pa.array(n_hit), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in named]), pa.array(n_hit > 0), pa.array([x[0] for x in longest], pa.int64()), pa.array([x[1] for x in longest], pa.string()), pa.array([x[2] for x in longest], pa.int64())]
         return pa.RecordBatch.from_arrays(cols, names=[id_col, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "longest_item", "longest_at"])
 
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in gathered(batches, SHARD_BYTES):
+            yield run(part)
+            give_back()
+
+    small_batches(docs.sparkSession)
     if keep:
-        held = docs.withColumn("_shard_text", F.col(text_col).cast("string"))
-        return arrow_map(held, run, f"{', '.join(f'`{c}` {k}' for c, k in docs.dtypes)}, _n_hit long")
-    return arrow_map(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")), run, f"{id_col} {id_kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, longest_item string, longest_at long")
+        held = docs.withColumn(fresh(docs, "_shard_text"), F.col(text_col).cast("string"))
+        return held.mapInArrow(shards, f"{', '.join(f'`{c}` {k}' for c, k in docs.dtypes)}, {hit_name} long")
+    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(shards, f"{id_col} {id_kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, longest_item string, longest_at long")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
     """docs without the documents in which a window of the benchmark occurs; all their columns stay."""
-    return measure(docs, benchmark, text_col=text_col, item_col=item_col, window=window, keep=True).filter("_n_hit = 0").drop("_n_hit")
+    return measure(docs, benchmark, text_col=text_col, item_col=item_col, window=window, keep=True).filter(F.col(fresh(docs, HIT)) == 0).select(*docs.columns)

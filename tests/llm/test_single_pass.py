@@ -70,7 +70,8 @@ def brute_windows(docs, items, window):
 
 @pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 60])
 def test_decontamination(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate.blocks_of, "__defaults__", (block,))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 40 * block)
     rng = random.Random(4)
     vocabulary = [f"w{k}" for k in range(6)] + ["É", "x-y"]
     docs = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([0, 3, 60])))) for k in range(30)] + [(90, None), (91, "W1 W2, w3"), (92, "the short one.")]
@@ -85,6 +86,12 @@ def test_decontamination(spark, monkeypatch, block):
     assert decontaminate.decontaminate(frame(spark, docs), bench.limit(0)).count() == len(docs)
 
 
+def test_decontamination_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", 5), (2, "b c d", None, None)], "doc_id long, text string, _shard_text string, _n_hit int")
+    bench = spark.createDataFrame([(1, "A, b")], "item_id long, text string")
+    assert [tuple(r) for r in decontaminate.decontaminate(docs, bench).collect()] == [(2, "b c d", None, None)]
+
+
 def test_longest_match(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
     got = decontaminate.measure(frame(spark, [(1, "x x b c d e y")]), bench).collect()[0]
