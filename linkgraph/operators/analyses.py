@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkgraph import vocab
-from linkgraph.operators.graph import is_flagged
+from linkgraph.operators.graph import is_flagged, walk
 
 
 def tops(closure: DataFrame) -> DataFrame:
@@ -97,6 +97,20 @@ def flagged_paths(closure: DataFrame, entities: DataFrame, asset: str, limit: in
     return closure.filter(F.col("asset_id") == asset).join(risky, "root_id").orderBy("hops", F.array_join("path", "|")).limit(limit)
 
 
+def nearest_flagged(edges: DataFrame, entities: DataFrame, max_hops: int, owners: int = 5, limit: int = 50) -> DataFrame:
+    """Companies that flagged entities reach within max_hops over active edges, with the names of the nearest of these; walks start from the flagged only."""
+    if not 1 <= max_hops <= 10:
+        raise ValueError("max_hops is from 1 to 10")
+    risky = entities.filter(is_flagged(F.col("topics"))).select(F.col("canonical_id").alias("root_id"), F.col("name").alias("risk_name"))
+    near = walk(edges.filter("is_active"), risky, max_hops).groupBy("asset_id", "root_id").agg(F.min("hops").alias("hops"), F.max("max_share").alias("share"))
+    target = entities.filter("entity_type <> 'Person'").select(F.col("canonical_id").alias("asset_id"), "name")
+    listed = F.slice(F.array_sort(F.collect_list(F.struct("hops", "root_id", "risk_name"))), 1, owners)
+    out = near.join(risky, "root_id").join(target, "asset_id").groupBy(F.col("asset_id").alias("company_id"), F.col("name").alias("company_name")).agg(
+        F.min("hops").alias("shortest_hops"), F.round(F.max("share") * 100, 2).alias("max_percent"), F.count("*").alias("n_owners"), F.transform(listed, lambda x: x["risk_name"]).alias("owners")
+    )
+    return out.orderBy("shortest_hops", F.desc("n_owners"), "company_id").limit(limit)
+
+
 def opaque_structures(closure: DataFrame, entities: DataFrame, limit: int = 1000) -> DataFrame:
     """Chains from a company that nothing controls, in a secrecy jurisdiction or through a fiduciary."""
     rows = _of_root(tops(closure), entities.filter("entity_type <> 'Person'").select("canonical_id", "name", "jurisdiction"))

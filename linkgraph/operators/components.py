@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkgraph.storage import shared_dir
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df kept in the session's shared checkpoint folder; a folder is set only where there is none."""
-    spark: SparkSession = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/linkgraph-{uuid.uuid4().hex}")
+    """df kept in the session's shared checkpoint folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

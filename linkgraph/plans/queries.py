@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkgraph import vocab
@@ -76,7 +76,8 @@ COMPANY_SCORES = """feat AS (
     dec AS (SELECT *, CASE WHEN score >= 0.92 THEN 'accept' WHEN score < 0.62 THEN 'reject' ELSE 'uncertain' END AS decision FROM sc)"""
 REL = f"rel AS ({bridge.BRIDGE_SQL['relationships'].format(**_T)})"
 ENT = f"ent AS ({bridge.BRIDGE_SQL['entities'].format(**_T)})"
-EDGES = """edges AS (SELECT 'ent:' || source_record_id AS owner_id, 'ent:' || target_record_id AS asset_id, min(min_percent)::DOUBLE AS min_percent, max(max_percent)::DOUBLE AS max_percent, bool_or(has_hard_control) AS has_hard_control, bool_or(via_fiduciary) AS via_fiduciary, count(*) AS n_filings
+EDGES = """edges AS (SELECT 'ent:' || source_record_id AS owner_id, 'ent:' || target_record_id AS asset_id, min(min_percent)::DOUBLE AS min_percent, max(max_percent)::DOUBLE AS max_percent, bool_or(has_hard_control) AS has_hard_control, bool_or(via_fiduciary) AS via_fiduciary, count(*) AS n_filings,
+    array_to_string(list_sort(list(DISTINCT CASE WHEN min_percent IS NULL THEN 'APPOINT_DIRECTORS' ELSE 'SHARES' END)), ',') AS control_kinds, CASE WHEN bool_or(via_fiduciary) THEN 'TRUST' ELSE '' END AS capacities
     FROM rel WHERE ceased_on IS NULL GROUP BY 1, 2)"""
 WALK = """walk AS (
     SELECT owner_id AS root_id, asset_id, 1 AS hops, coalesce(min_percent, 0.0) / 100 AS min_share, coalesce(max_percent, 100.0) / 100 AS max_share, min_percent IS NULL AS control_only, via_fiduciary, [owner_id, asset_id] AS path FROM edges
@@ -157,9 +158,9 @@ def person_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bridge.table(spark, sf_dir, "customer").select("c_custkey", p["first"].alias("first"), p["middle"].alias("middle"), p["last"].alias("last"), text.person_fingerprint(p).alias("fingerprint"))
 
 
-@query()
+@query(f"SELECT p_partkey, name_phonetic AS phonetic FROM (SELECT p_partkey, {_SOUNDEX.replace('name_fp', 'lower(p_name)')} FROM part)")
 def phonetic_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TXT-08: Soundex of each word; DuckDB has none."""
+    """TXT-08: Soundex of each word."""
     return bridge.table(spark, sf_dir, "part").select("p_partkey", text.phonetic_key(F.col("p_name")).alias("phonetic"))
 
 
@@ -387,12 +388,13 @@ def split_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @with_phonetic()
 @query(f"""{_CC}, m AS (SELECT c.*, coalesce(p.component, c.record_id) AS cl FROM co c LEFT JOIN comp p USING (record_id))
-           SELECT 'ent:' || cl AS canonical_id, count(*) AS n_records, array_to_string(list_sort(list(DISTINCT name)), '|') AS all_names, array_to_string(list_sort(list(record_id)), ',') AS record_ids, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM m GROUP BY cl""")
+           SELECT 'ent:' || cl AS canonical_id, count(*) AS n_records, array_to_string(list_sort(list(DISTINCT name)), '|') AS all_names, array_to_string(list_sort(list(record_id)), ',') AS record_ids, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources,
+           {", ".join(f"coalesce(list_sort(list_transform(map_entries(histogram(nullif({c}, ''))), lambda e: {{{{'n': -e.value::BIGINT, 'v': e.key}}}}))[1].v, '') AS {c}".replace("{{", "{").replace("}}", "}") for c in ("name", "country", "jurisdiction", "reg_number", "postcode"))} FROM m GROUP BY cl""")
 def canonical_entities(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """CLU-05, AGG-07 over unsplit clusters."""
     records, _, s = _company_scores(spark, sf_dir, phonetic)
     made = clusters.canonical_entities(records, clusters.build_clusters(records, checkpointed(s), split_conflicts=False))
-    return made.select("canonical_id", "n_records", F.array_join("all_names", "|").alias("all_names"), F.array_join("record_ids", ",").alias("record_ids"), F.array_join("sources", ",").alias("sources"))
+    return made.select("canonical_id", "n_records", F.array_join("all_names", "|").alias("all_names"), F.array_join("record_ids", ",").alias("record_ids"), F.array_join("sources", ",").alias("sources"), "name", "country", "jurisdiction", "reg_number", "postcode")
 
 
 @query(f"""WITH {COMPANIES}, k AS (SELECT name_fp, v, count(*) AS n FROM (SELECT name_fp, nullif(jurisdiction, '') AS v FROM co) WHERE v IS NOT NULL GROUP BY ALL),
@@ -405,10 +407,26 @@ def modal_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The control graph
 
 
-@query(f"WITH {REL}, {EDGES} SELECT owner_id, asset_id, min_percent, max_percent, has_hard_control, via_fiduciary, n_filings FROM edges")
+def _flat(edges: DataFrame) -> DataFrame:
+    return edges.withColumns({k: F.array_join(k, ",") for k in ("control_kinds", "capacities")} | {k: F.col(k).cast("string") for k in ("first_notified", "last_ceased")})
+
+
+@query(f"WITH {REL}, {EDGES} SELECT *, '2015-01-01' AS first_notified, NULL::VARCHAR AS last_ceased, true AS is_active FROM edges")
 def edge_merge_pre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-08, JOIN-03: active filings merged."""
-    return graph.edges(bridge.relationships(spark, sf_dir)).select("owner_id", "asset_id", "min_percent", "max_percent", "has_hard_control", "via_fiduciary", "n_filings")
+    """AGG-08: active filings merged."""
+    return _flat(graph.edges(bridge.relationships(spark, sf_dir)))
+
+
+#: Every ten suppliers are one entity.
+_GROUPED = "CASE WHEN starts_with({0}, 'sup:') THEN 'ent:group:' || (substr({0}, 5)::BIGINT % 10) ELSE 'ent:' || {0} END"
+
+
+@query(f"""WITH {REL} SELECT {_GROUPED.format('source_record_id')} AS owner_id, {_GROUPED.format('target_record_id')} AS asset_id, min(min_percent)::DOUBLE AS min_percent, max(max_percent)::DOUBLE AS max_percent,
+           bool_or(has_hard_control) AS has_hard_control, bool_or(via_fiduciary) AS via_fiduciary, count(*) AS n_filings, max(ceased_on)::VARCHAR AS last_ceased, bool_or(ceased_on IS NULL) AS is_active FROM rel GROUP BY 1, 2""")
+def edge_merge_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN-03: ends re-pointed to the clusters of their records; those without one keep their record."""
+    records = bridge.table(spark, sf_dir, "supplier").select(F.concat(F.lit("sup:"), F.col("s_suppkey")).alias("record_id"), F.concat(F.lit("ent:group:"), F.col("s_suppkey") % 10).alias("canonical_id"))
+    return _flat(graph.edges(bridge.relationships(spark, sf_dir), records, merge_before_filter=True)).select("owner_id", "asset_id", "min_percent", "max_percent", "has_hard_control", "via_fiduciary", "n_filings", "last_ceased", "is_active")
 
 
 @query(f"""WITH {REL} SELECT 'ent:' || source_record_id AS owner_id, 'ent:' || target_record_id AS asset_id, min(min_percent)::DOUBLE AS min_percent, max(max_percent)::DOUBLE AS max_percent, count(*) AS n_filings, bool_or(ceased_on IS NULL) AS is_active FROM rel GROUP BY 1, 2""")
@@ -440,19 +458,60 @@ def chain_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reach.join(F.broadcast(far), F.col("asset_id") == F.col("_far")).select(F.array_join("path", ">").alias("path"), "hops")
 
 
-_NEAR = "SELECT {other} AS entity, hops, CASE WHEN NOT control_only THEN round(max_share * 100, 3) END AS max_percent FROM (SELECT *, row_number() OVER (PARTITION BY {other} ORDER BY hops, path) AS i FROM walk WHERE {one} = '{id}' AND root_id <> asset_id) WHERE i = 1"
+_NEAR = """SELECT {other} AS entity, hops, CASE WHEN NOT control_only THEN round(min_share * 100, 3) END AS min_percent, CASE WHEN NOT control_only THEN round(max_share * 100, 3) END AS max_percent, control_only, via_fiduciary, array_to_string({path}, '>') AS path
+    FROM (SELECT *, row_number() OVER (PARTITION BY {other} ORDER BY hops, {path}) AS i FROM walk WHERE {one} = '{id}' AND root_id <> asset_id) WHERE i = 1"""
+
 
+def _named(found: DataFrame) -> DataFrame:
+    return found.withColumnRenamed("asset_id", "entity").withColumn("path", F.array_join("path", ">"))
 
-@query(f"{GRAPH} {_NEAR.format(other='asset_id', one='root_id', id='ent:cust:5')}")
+
+@query(f"{GRAPH} {_NEAR.format(other='asset_id', one='root_id', id='ent:cust:5', path='path')}")
 def walk_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REC-10 downwards, WIN-01."""
-    return graph.ownership(graph.edges(bridge.relationships(spark, sf_dir)), "ent:cust:5", "down").select(F.col("asset_id").alias("entity"), "hops", "max_percent")
+    return _named(graph.ownership(graph.edges(bridge.relationships(spark, sf_dir)), "ent:cust:5", "down"))
 
 
-@query(f"{GRAPH} SELECT root_id AS entity, min(hops) AS hops FROM walk WHERE asset_id = 'ent:sup:5' AND root_id <> asset_id GROUP BY 1")
+@query(f"{GRAPH} {_NEAR.format(other='root_id', one='asset_id', id='ent:sup:5', path='list_reverse(path)')}")
 def walk_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REC-10 upwards."""
-    return graph.ownership(graph.edges(bridge.relationships(spark, sf_dir)), "ent:sup:5", "up").select(F.col("asset_id").alias("entity"), "hops")
+    return _named(graph.ownership(graph.edges(bridge.relationships(spark, sf_dir)), "ent:sup:5", "up"))
+
+
+_LONG = GRAPH.replace("w.hops < 6", "w.hops < 8")
+
+
+@query(f"{_LONG} SELECT array_to_string(path, '>') AS path, hops, round(max_share, 9) AS max_share FROM walk WHERE root_id = 'ent:cust:5' AND asset_id = 'ent:sup:5' ORDER BY hops, array_to_string(path, '|') LIMIT 25")
+def shortest_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CYP-02: up to 25 chains of up to 8 hops from one entity to another."""
+    found = graph.chains(graph.edges(bridge.relationships(spark, sf_dir)), "ent:cust:5", "ent:sup:5")
+    return found.select(F.array_join("path", ">").alias("path"), "hops", F.round("max_share", 9).alias("max_share"))
+
+
+@query(f"""WITH RECURSIVE {REL}, {EDGES}, walk AS (SELECT owner_id AS root_id, asset_id, 1 AS hops, [owner_id, asset_id] AS path FROM edges
+           UNION ALL SELECT w.root_id, e.asset_id, w.hops + 1, list_append(w.path, e.asset_id) FROM walk w JOIN edges e ON e.owner_id = w.asset_id WHERE w.asset_id <> w.root_id AND w.hops < 6 AND (e.asset_id = w.root_id OR NOT list_contains(w.path, e.asset_id)))
+           SELECT root_id AS entity_id, name AS entity_name, hops AS cycle_length, array_to_string(path, '>') AS cycle FROM (SELECT DISTINCT root_id, hops, path FROM walk WHERE asset_id = root_id AND hops >= 2) LEFT JOIN ent_ ON ent_.canonical_id = root_id
+           ORDER BY cycle_length, cycle LIMIT 100""".replace(", walk AS", f", {ENT.replace('ent AS', 'ent_ AS', 1)}, walk AS", 1))
+def circular_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CYP-03: cycles of 2 to 6 hops that meet their root once."""
+    found = graph.cycles(graph.edges(bridge.relationships(spark, sf_dir)), min_hops=2, simple_only=True)
+    return analyses.cycle_report(found, bridge.entities(spark, sf_dir)).withColumn("cycle", F.array_join("cycle", ">"))
+
+
+@query(f"""{GRAPH}, x AS (SELECT asset_id, root_id, r.name AS risk_name, min(hops) AS hops, max(max_share) AS share FROM walk w JOIN ent r ON r.canonical_id = w.root_id AND r.{FLAGGED} WHERE hops <= 3 GROUP BY ALL)
+           SELECT asset_id AS company_id, t.name AS company_name, min(hops) AS shortest_hops, round(max(share) * 100, 2) AS max_percent, count(*) AS n_owners, array_to_string(list(risk_name ORDER BY hops, root_id)[1:5], '|') AS owners
+           FROM x JOIN ent t ON t.canonical_id = asset_id AND t.entity_type <> 'Person' GROUP BY 1, 2 ORDER BY shortest_hops, n_owners DESC, company_id LIMIT 50""")
+def nearest_flagged_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CYP-04: of each exposed company the five nearest flagged owners within three hops."""
+    active = graph.edges(bridge.relationships(spark, sf_dir))
+    return analyses.nearest_flagged(active, bridge.entities(spark, sf_dir), 3, limit=50).withColumn("owners", F.array_join("owners", "|"))
+
+
+@query(f"""{GRAPH} SELECT root_id, hops, array_to_string(path, '>') AS path, round(max_share, 9) AS max_share FROM walk w JOIN ent r ON r.canonical_id = w.root_id AND r.{FLAGGED} WHERE asset_id = 'ent:sup:7' ORDER BY hops, array_to_string(path, '|') LIMIT 10""")
+def flagged_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CYP-05: the ten shortest paths from flagged entities to a company."""
+    found = analyses.flagged_paths(_closure(spark, sf_dir), bridge.entities(spark, sf_dir), "ent:sup:7")
+    return found.select("root_id", "hops", F.array_join("path", ">").alias("path"), F.round("max_share", 9).alias("max_share"))
 
 
 @query(f"""{GRAPH} SELECT t.root_id AS owner_id, e.name AS owner_name, e.nationality, count(DISTINCT asset_id) AS companies_controlled, max(hops) AS deepest_chain, round(max(max_share) * 100, 2) AS max_indirect_percent, bool_or(via_fiduciary) AS any_fiduciary_layer
@@ -561,38 +620,74 @@ def name_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.search(_index(spark, sf_dir), "Supplier#00000001").select("canonical_id", "name", "tier")
 
 
+@query(f"""{_EXPOSURE} SELECT e.canonical_id, e.name, e.entity_type, e.jurisdiction, e.n_records, (SELECT count(*) FROM edges WHERE asset_id = 'ent:sup:7') AS n_owners, (SELECT count(*) FROM edges WHERE owner_id = 'ent:sup:7') AS n_assets,
+           (SELECT count(*) FROM exposure WHERE asset_id = 'ent:sup:7') AS exposure_links FROM ent e WHERE canonical_id = 'ent:sup:7'""")
+def entity_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRV-02, JOIN-10: an entity with counts of what is linked to it."""
+    return serving.entity(_index(spark, sf_dir), "ent:sup:7").select("canonical_id", "name", "entity_type", "jurisdiction", "n_records", "n_owners", "n_assets", "exposure_links")
+
+
+@query(f"WITH RECURSIVE {REL}, {_ALL_EDGES}, {WALK} {_NEAR.format(other='root_id', one='asset_id', id='ent:sup:7', path='list_reverse(path)')}")
+def owners_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRV-03: who controls an entity, over the served edges."""
+    return _named(serving.ownership(_index(spark, sf_dir), "ent:sup:7", "up"))
+
+
+@query(f"""{_EXPOSURE}, steps AS (SELECT risk_id, unnest(path) AS canonical_id, unnest(range(len(path))) AS pos FROM exposure WHERE asset_id = 'ent:sup:7'),
+    names AS (SELECT risk_id, string_agg(coalesce(name, canonical_id), '>' ORDER BY pos) AS path_names FROM steps LEFT JOIN ent USING (canonical_id) GROUP BY 1)
+    SELECT risk_id, hops, min_percent, max_percent, control_only, via_fiduciary, path_names, row_number() OVER (ORDER BY hops, max_percent DESC NULLS LAST, risk_id) AS place FROM exposure JOIN names USING (risk_id) WHERE asset_id = 'ent:sup:7'""")
+def exposure_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRV-04, SRT-03: the exposure paths of an entity, those without percentages last."""
+    rows = serving.exposure_of(_index(spark, sf_dir), "ent:sup:7").select("risk_id", "hops", "min_percent", "max_percent", "control_only", "via_fiduciary", F.array_join("path_names", ">").alias("path_names"))
+    # The place of each row in what is served: one entity's rows, in their order.
+    return rows.withColumn("place", F.row_number().over(Window.orderBy("hops", F.desc_nulls_last("max_percent"), "risk_id")).cast("long"))
+
+
+@query(f"{_EXPOSURE} SELECT 'exposure' AS list, hops::VARCHAR AS entry, count(DISTINCT asset_id) AS n FROM exposure GROUP BY 2 UNION ALL SELECT 'merged', n_records::VARCHAR, count(*) FROM ent GROUP BY 2 "
+       "UNION ALL (SELECT 'controllers', canonical_id, count(DISTINCT asset_id) FROM edges JOIN ent ON canonical_id = owner_id GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 8)")
+def overview_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRV-06: exposed companies by path length, entities by records, and the eight largest controllers."""
+    index = _index(spark, sf_dir)
+    lists = [("exposure", serving.exposure_histogram(index).select(F.col("hops").cast("string").alias("entry"), F.col("companies").alias("n"))), ("merged", serving.merge_histogram(index).select(F.col("n_records").cast("string").alias("entry"), F.col("entities").alias("n"))), ("controllers", serving.top_controllers(index).select(F.col("canonical_id").alias("entry"), F.col("controls").alias("n")))]
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(name).alias("list"), "entry", "n") for name, rows in lists])
+
+
 # Measures
 
 
 @with_phonetic()
 @query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES}, {_TRUTH}, x AS (SELECT count(*) AS accepted, count(t.left_id) AS true_positives FROM dec d LEFT JOIN truth t USING (left_id, right_id) WHERE decision = 'accept'),
     y AS (SELECT (SELECT count(*) FROM truth) AS true_pairs, (SELECT count(*) FROM (SELECT DISTINCT left_id, right_id FROM cand) JOIN truth USING (left_id, right_id)) AS true_candidates)
-    SELECT accepted, true_positives, true_pairs, true_candidates, round(true_positives / accepted, 6) AS precision, round(true_positives / true_pairs, 6) AS recall, round(true_candidates / true_pairs, 6) AS blocking_recall FROM x, y""")
+    SELECT accepted, true_positives, true_pairs, true_candidates, round(true_positives / accepted, 6) AS precision, round(true_positives / true_pairs, 6) AS recall, round(true_candidates / true_pairs, 6) AS blocking_recall, round(true_positives / true_candidates, 6) AS recall_within_candidates, round(2 * true_positives / (accepted + true_pairs), 6) AS f1 FROM x, y""")
 def pairwise_metrics(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-14, JOIN-04."""
     records, pairs, s = _company_scores(spark, sf_dir, phonetic)
     m = evaluate.pairwise(s, _truth(records), pairs)
-    return m.select("accepted", "true_positives", "true_pairs", "true_candidates", *(F.round(k, 6).alias(k) for k in ("precision", "recall", "blocking_recall")))
+    return m.select("accepted", "true_positives", "true_pairs", "true_candidates", *(F.round(k, 6).alias(k) for k in ("precision", "recall", "blocking_recall", "recall_within_candidates", "f1")))
 
 
 @with_phonetic()
 @query(f"""{_CC}, m AS (SELECT truth_name || '|' || truth_brand AS t, coalesce(p.component, c.record_id) AS p FROM co c LEFT JOIN comp p USING (record_id)), k AS (SELECT p, t, count(*) AS n FROM m GROUP BY ALL),
-    s AS (SELECT *, sum(n) OVER (PARTITION BY p) AS np, sum(n) OVER (PARTITION BY t) AS nt FROM k) SELECT sum(n)::BIGINT AS records, round(sum(n * n / np) / sum(n), 6) AS precision, round(sum(n * n / nt) / sum(n), 6) AS recall FROM s""")
+    s AS (SELECT *, sum(n) OVER (PARTITION BY p) AS np, sum(n) OVER (PARTITION BY t) AS nt, count(*) OVER (PARTITION BY p) AS kp, count(*) OVER (PARTITION BY t) AS kt FROM k),
+    r AS (SELECT sum(n)::BIGINT AS records, sum(n * n / np) / sum(n) AS pr, sum(n * n / nt) / sum(n) AS re, count(DISTINCT p) AS predicted_clusters, count(DISTINCT t) AS true_clusters, coalesce(sum(n) FILTER (WHERE kp > 1), 0)::BIGINT AS over_merged, coalesce(sum(n) FILTER (WHERE kt > 1), 0)::BIGINT AS under_merged, max(np)::BIGINT AS largest_predicted, max(nt)::BIGINT AS largest_true FROM s)
+    SELECT * EXCLUDE (pr, re), round(pr, 6) AS precision, round(re, 6) AS recall, round(2 * pr * re / (pr + re), 6) AS f1 FROM r""")
 def bcubed(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-13."""
     records, _, s = _company_scores(spark, sf_dir, phonetic)
     found = clusters.build_clusters(records, checkpointed(s), split_conflicts=False)
     out = evaluate.bcubed(found, records.select("record_id", F.concat_ws("|", "truth_name", "truth_brand").alias("truth_id")))
-    return out.select("records", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+    return out.withColumns({k: F.round(k, 6) for k in ("precision", "recall", "f1")})
 
 
 @with_phonetic()
-@query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES}, {_TRUTH} SELECT i / 40 AS threshold, count(*) FILTER (WHERE round(score, 9) >= i / 40) AS accepted, round(count(t.left_id) FILTER (WHERE round(score, 9) >= i / 40) / (SELECT count(*) FROM truth), 6) AS recall
+@query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, {COMPANY_SCORES}, {_TRUTH} SELECT i / 40 AS threshold, count(*) FILTER (WHERE round(score, 9) >= i / 40) AS accepted, round(count(t.left_id) FILTER (WHERE round(score, 9) >= i / 40) / (SELECT count(*) FROM truth), 6) AS recall,
+    CASE WHEN count(*) FILTER (WHERE round(score, 9) >= i / 40) = 0 THEN 0.0 ELSE round(count(t.left_id) FILTER (WHERE round(score, 9) >= i / 40) / count(*) FILTER (WHERE round(score, 9) >= i / 40), 6) END AS precision,
+    round(2 * count(t.left_id) FILTER (WHERE round(score, 9) >= i / 40) / (count(*) FILTER (WHERE round(score, 9) >= i / 40) + (SELECT count(*) FROM truth)), 6) AS f1
     FROM (SELECT unnest(range(41)) AS i) CROSS JOIN dec LEFT JOIN truth t USING (left_id, right_id) GROUP BY i""")
 def threshold_sweep(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
     """AGG-15."""
     records, _, s = _company_scores(spark, sf_dir, phonetic)
-    return evaluate.sweep(s.withColumn("score", F.round("score", 9)), _truth(records)).select("threshold", "accepted", F.round("recall", 6).alias("recall"))
+    return evaluate.sweep(s.withColumn("score", F.round("score", 9)), _truth(records)).select("threshold", "accepted", *(F.round(k, 6).alias(k) for k in ("precision", "recall", "f1")))
 
 
 @with_phonetic()
@@ -603,26 +698,32 @@ def error_taxonomy(spark: SparkSession, sf_dir: str, phonetic: bool = False) ->
     return evaluate.errors(s, _truth(records), pairs)
 
 
-@with_phonetic()
-@query(f"""WITH {COMPANIES}, {COMPANY_KEYS}, l AS (SELECT b.record_id AS a, a.record_id AS b FROM co a JOIN co b ON a.reg_number = b.reg_number AND a.reg_number <> '' AND a.record_id < b.record_id), k AS (SELECT DISTINCT left_id, right_id FROM cand WHERE key_name <> 'c_reg')
-    SELECT count(*) AS links, count(k.left_id) AS blocked FROM l LEFT JOIN k ON k.left_id = least(l.a, l.b) AND k.right_id = greatest(l.a, l.b)""")
-def heldout_recall(spark: SparkSession, sf_dir: str, phonetic: bool = False) -> DataFrame:
+_UNNUMBERED = _CC.replace("{'n': 'c_reg', 'v': reg_number}, ", "").replace("coalesce(reg * 5.0 + (1 - reg) * -2.5, 0) + ", "")
+
+
+@query(f"""{_UNNUMBERED}, l AS (SELECT b.record_id AS a, a.record_id AS b FROM co a JOIN co b ON a.reg_number = b.reg_number AND a.reg_number <> '' AND a.record_id < b.record_id), k AS (SELECT DISTINCT left_id, right_id FROM cand),
+    n AS (SELECT count(*) AS links, count(k.left_id) AS blocked, count(*) FILTER (WHERE x.component = y.component) AS resolved FROM l LEFT JOIN k ON k.left_id = least(l.a, l.b) AND k.right_id = greatest(l.a, l.b) LEFT JOIN comp x ON x.record_id = l.a LEFT JOIN comp y ON y.record_id = l.b)
+    SELECT *, CASE WHEN links > 0 THEN round(blocked / links, 6) ELSE 0.0 END AS blocking_recall, CASE WHEN links > 0 THEN round(resolved / links, 6) ELSE 0.0 END AS recall FROM n""")
+def heldout_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-17, JOIN-07, D3: registration numbers as truth, with their key and feature left out."""
-    records = _companies(spark, sf_dir, phonetic)
+    records = _companies(spark, sf_dir, phonetic=False)
     numbered = records.filter("reg_number <> ''").select("reg_number", "record_id")
     links = numbered.withColumnRenamed("record_id", "b").join(numbered.withColumnRenamed("record_id", "a"), "reg_number").filter("b < a").select("a", "b")
     keys = [k for k in blocking.KEYS if k.name != "c_reg"]
     pairs = blocking.candidate_pairs(blocking.blocking_keys(records, keys), keys)
     s = matching.score(matching.features(pairs, records, "Company"), [w for w in matching.COMPANY_WEIGHTS if w.feature != "reg_number_match"])
     found = clusters.build_clusters(records, checkpointed(s), split_conflicts=False)
-    return evaluate.held_out(links, found, pairs).select("links", "blocked")
+    return evaluate.held_out(links, found, pairs).select("links", "blocked", "resolved", F.round("blocking_recall", 6).alias("blocking_recall"), F.round("recall", 6).alias("recall"))
 
 
-@query(f"""{GRAPH} SELECT (SELECT count(*) FROM walk WHERE hops = 1) AS one_hop_control_paths, (SELECT count(*) FROM walk WHERE hops > 1) AS multi_hop_control_paths, (SELECT count(DISTINCT asset_id) FROM walk WHERE hops > 1) AS companies_with_indirect_owner,
+@query(f"""WITH RECURSIVE {PEOPLE}, {REL}, {ENT}, {EDGES}, {WALK}, c AS (SELECT first_name || last_name || birth_year AS c, count(*) AS n, count(DISTINCT source) AS s FROM pe GROUP BY 1)
+    SELECT (SELECT sum(n)::BIGINT FROM c) AS source_records, (SELECT count(*) FROM c) AS canonical_entities, (SELECT sum(n - 1)::BIGINT FROM c) AS records_absorbed_by_merging, (SELECT coalesce(sum(n), 0)::BIGINT FROM c WHERE n > 1) AS records_in_merged_clusters,
+    (SELECT max(n) FROM c) AS largest_cluster, (SELECT count(*) FROM c WHERE s > 1) AS cross_source_entities,
+    (SELECT count(*) FROM walk WHERE hops = 1) AS one_hop_control_paths, (SELECT count(*) FROM walk WHERE hops > 1) AS multi_hop_control_paths, (SELECT count(DISTINCT asset_id) FROM walk WHERE hops > 1) AS companies_with_indirect_owner,
     (SELECT count(DISTINCT asset_id) FROM walk w JOIN ent e ON e.canonical_id = w.root_id AND e.{FLAGGED} WHERE hops = 1) AS sanctions_direct_exposure, (SELECT count(DISTINCT asset_id) FROM walk w JOIN ent e ON e.canonical_id = w.root_id AND e.{FLAGGED} WHERE hops > 1) AS sanctions_indirect_exposure""")
 def resolution_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """REC-07, AGG-11."""
+    """REC-07, AGG-11: what it changes that persons of one name and birth year are one entity."""
     records = bridge.people(spark, sf_dir)
-    alone = records.select("record_id", F.concat(F.lit("ent:"), "record_id").alias("canonical_id"), F.lit(1).alias("cluster_size"))
-    out = analyses.resolution_impact(records, alone, _closure(spark, sf_dir), bridge.entities(spark, sf_dir))
-    return out.select("one_hop_control_paths", "multi_hop_control_paths", "companies_with_indirect_owner", "sanctions_direct_exposure", "sanctions_indirect_exposure")
+    named = records.select("record_id", F.concat("first_name", "last_name", F.col("birth_year").cast("string")).alias("canonical_id"))
+    found = named.join(named.groupBy("canonical_id").agg(F.count("*").alias("cluster_size")), "canonical_id")
+    return analyses.resolution_impact(records, found, _closure(spark, sf_dir), bridge.entities(spark, sf_dir))

@@ -62,23 +62,34 @@ HARD_KINDS = ["APPOINT_DIRECTORS", "APPOINT_MEMBERS", "APPOINT_PERSON"]
 SANCTION_TOPICS = ["sanction", "sanction.linked", "sanction.counter", "export.control", "export.risk"]
 PEP_TOPICS = ["role.pep", "role.rca", "role.oligarch"]
 
-# Names and demonyms of countries. More are given as a parameter of functions.places.country_code.
+# Names and demonyms of countries and territories that control filings name, by ISO code. More are given as a parameter of functions.places.country_code.
 COUNTRIES = {
-    "GB": "united kingdom,uk,great britain,britain,england,scotland,wales,northern ireland,british,english,scottish,welsh", "IE": "ireland,republic of ireland,irish,eire", "FR": "france,french", "DE": "germany,german,deutschland",
-    "ES": "spain,spanish", "IT": "italy,italian", "PT": "portugal,portuguese", "NL": "netherlands,the netherlands,dutch,holland", "BE": "belgium,belgian", "LU": "luxembourg,luxembourger", "CH": "switzerland,swiss", "AT": "austria,austrian",
-    "PL": "poland,polish", "CZ": "czech republic,czechia,czech", "SK": "slovakia,slovak", "HU": "hungary,hungarian", "RO": "romania,romanian", "BG": "bulgaria,bulgarian", "GR": "greece,greek", "CY": "cyprus,cypriot", "MT": "malta,maltese",
-    "SE": "sweden,swedish", "NO": "norway,norwegian", "DK": "denmark,danish", "FI": "finland,finnish", "EE": "estonia,estonian", "LV": "latvia,latvian", "LT": "lithuania,lithuanian", "UA": "ukraine,ukrainian", "BY": "belarus,belarusian",
-    "RU": "russia,russian federation,russian", "KZ": "kazakhstan,kazakh", "TR": "turkey,turkish", "IL": "israel,israeli", "AE": "united arab emirates,uae,emirati", "SA": "saudi arabia,saudi", "IR": "iran,iranian", "IN": "india,indian",
-    "PK": "pakistan,pakistani", "CN": "china,chinese", "HK": "hong kong", "JP": "japan,japanese", "SG": "singapore,singaporean", "MY": "malaysia,malaysian", "AU": "australia,australian", "NZ": "new zealand,new zealander",
-    "US": "united states,united states of america,usa,us,american", "CA": "canada,canadian", "MX": "mexico,mexican", "BR": "brazil,brazilian", "AR": "argentina,argentinian", "ZA": "south africa,south african", "NG": "nigeria,nigerian",
-    "VG": "british virgin islands,bvi,virgin islands british", "KY": "cayman islands,cayman", "BM": "bermuda,bermudian", "PA": "panama,panamanian", "SC": "seychelles", "MH": "marshall islands", "BZ": "belize", "JE": "jersey", "GG": "guernsey", "IM": "isle of man",
-    "GI": "gibraltar", "LI": "liechtenstein", "MC": "monaco,monegasque",
+    "AD": ["andorra"], "AE": ["united arab emirates", "uae", "emirati"], "AG": ["antigua and barbuda"], "AI": ["anguilla"], "AL": ["albania", "albanian"], "AM": ["armenia", "armenian"],
+    "AR": ["argentina", "argentine", "argentinian"], "AT": ["austria", "austrian"], "AU": ["australia", "australian"], "AW": ["aruba"], "AZ": ["azerbaijan", "azerbaijani"], "BA": ["bosnia and herzegovina", "bosnian"],
+    "BB": ["barbados", "barbadian"], "BD": ["bangladesh", "bangladeshi"], "BE": ["belgium", "belgian"], "BG": ["bulgaria", "bulgarian"], "BH": ["bahrain", "bahraini"], "BM": ["bermuda", "bermudian"], "BR": ["brazil", "brazilian"],
+    "BS": ["bahamas", "bahamian"], "BY": ["belarus", "belarusian", "belarussian", "byelorussian"], "BZ": ["belize", "belizean"], "CA": ["canada", "canadian"], "CH": ["switzerland", "swiss"], "CL": ["chile", "chilean"],
+    "CN": ["china", "chinese", "prc", "peoples republic of china"], "CO": ["colombia", "colombian"], "CW": ["curacao"], "CY": ["cyprus", "cypriot"], "CZ": ["czech republic", "czechia", "czech"], "DE": ["germany", "german", "deutschland"],
+    "DK": ["denmark", "danish"], "DM": ["dominica"], "EE": ["estonia", "estonian"], "EG": ["egypt", "egyptian"], "ES": ["spain", "spanish", "espana"], "FI": ["finland", "finnish"], "FR": ["france", "french"],
+    "GB": ["united kingdom", "uk", "u k", "gb", "great britain", "britain", "british", "england", "english", "scotland", "scottish", "wales", "welsh", "northern ireland", "northern irish", "united kingdom of great britain and northern ireland", "uk citizen", "british citizen"],
+    "GD": ["grenada"], "GE": ["georgia", "georgian"], "GG": ["guernsey"], "GH": ["ghana", "ghanaian"], "GI": ["gibraltar", "gibraltarian"], "GR": ["greece", "greek"], "HK": ["hong kong", "hong kong sar", "hongkong"],
+    "HR": ["croatia", "croatian"], "HU": ["hungary", "hungarian"], "ID": ["indonesia", "indonesian"], "IE": ["ireland", "republic of ireland", "irish", "eire"], "IL": ["israel", "israeli"], "IM": ["isle of man", "manx"],
+    "IN": ["india", "indian"], "IQ": ["iraq", "iraqi"], "IR": ["iran", "iranian"], "IS": ["iceland", "icelandic"], "IT": ["italy", "italian", "italia"], "JE": ["jersey"], "JO": ["jordan", "jordanian"], "JP": ["japan", "japanese"],
+    "KE": ["kenya", "kenyan"], "KG": ["kyrgyzstan", "kyrgyz"], "KN": ["saint kitts and nevis", "st kitts and nevis", "nevis"], "KP": ["north korea", "north korean", "dprk"], "KR": ["south korea", "republic of korea", "korean"],
+    "KW": ["kuwait", "kuwaiti"], "KY": ["cayman islands", "cayman", "caymanian"], "KZ": ["kazakhstan", "kazakh", "kazakhstani"], "LB": ["lebanon", "lebanese"], "LI": ["liechtenstein"], "LK": ["sri lanka", "sri lankan"],
+    "LT": ["lithuania", "lithuanian"], "LU": ["luxembourg", "luxembourger", "luxembourgish"], "LV": ["latvia", "latvian"], "LY": ["libya", "libyan"], "MA": ["morocco", "moroccan"], "MC": ["monaco", "monegasque"], "MD": ["moldova", "moldovan"],
+    "ME": ["montenegro", "montenegrin"], "MH": ["marshall islands"], "MK": ["north macedonia", "macedonian"], "MT": ["malta", "maltese"], "MU": ["mauritius", "mauritian"], "MX": ["mexico", "mexican"], "MY": ["malaysia", "malaysian"],
+    "NG": ["nigeria", "nigerian"], "NL": ["netherlands", "the netherlands", "dutch", "holland"], "NO": ["norway", "norwegian"], "NZ": ["new zealand", "new zealander"], "OM": ["oman", "omani"], "PA": ["panama", "panamanian"],
+    "PH": ["philippines", "philippine", "filipino"], "PK": ["pakistan", "pakistani"], "PL": ["poland", "polish"], "PT": ["portugal", "portuguese"], "QA": ["qatar", "qatari"], "RO": ["romania", "romanian"], "RS": ["serbia", "serbian"],
+    "RU": ["russia", "russian federation", "russian"], "SA": ["saudi arabia", "saudi", "saudi arabian"], "SC": ["seychelles", "seychellois"], "SE": ["sweden", "swedish"], "SG": ["singapore", "singaporean"], "SI": ["slovenia", "slovenian"],
+    "SK": ["slovakia", "slovak"], "SM": ["san marino"], "SY": ["syria", "syrian"], "TC": ["turks and caicos islands", "turks and caicos"], "TH": ["thailand", "thai"], "TJ": ["tajikistan", "tajik"], "TM": ["turkmenistan", "turkmen"],
+    "TR": ["turkey", "turkiye", "turkish"], "TW": ["taiwan", "taiwanese"], "UA": ["ukraine", "ukrainian"], "US": ["united states", "united states of america", "usa", "u s a", "us", "american"], "UZ": ["uzbekistan", "uzbek"],
+    "VC": ["saint vincent and the grenadines"], "VE": ["venezuela", "venezuelan"], "VG": ["british virgin islands", "bvi", "virgin islands british"], "VN": ["vietnam", "vietnamese"], "VU": ["vanuatu"], "WS": ["samoa"], "ZA": ["south africa", "south african"],
 }
 
 
 def country_aliases(more: dict[str, str] | None = None) -> dict[str, str]:
     """Normalised name or demonym to ISO code; more adds and overrides."""
-    return {name: iso for iso, names in COUNTRIES.items() for name in names.split(",")} | (more or {})
+    return {name: iso for iso, names in COUNTRIES.items() for name in names} | (more or {})
 
 
 def legal_form_ranks() -> dict[str, tuple[int, str]]:

@@ -3,6 +3,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from linkgraph.plans import wire  # noqa: F401 - registers its queries
 from linkgraph.plans.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
