@@ -1,10 +1,14 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-Level 1 is the words, by hash, with their counts. Level 2 is the followers of each word: pointers and
-followers are monotone Elias-Fano sequences, followers made so by adding to each context's ids the last
-value of the context before. A pair is found by a successor search inside its context's range, and its
-smoothed probability is a code of eight bits. The levels lie in files by key range, which workers map
-into memory, so that what a worker holds doesn't grow with the corpus.
+Level 1 is the words: their hashes are a monotone Elias-Fano sequence, found by successor search, and
+their counts lie beside it in as few bits as the largest needs (the base score asks for exact ones).
+Level 2 is the followers of each word: pointers and followers are monotone Elias-Fano sequences,
+followers made so by adding to each context's ids the last value of the context before. A pair is found
+by a successor search inside its context's range, and its smoothed probability is a code of eight bits,
+spread evenly over the logarithms that a corpus of this size can have, so that none is clipped. The
+levels lie in files by key range, which workers map into memory where the file system is local, and
+else hold in a memory of bounded bytes; so what a worker holds doesn't grow with the corpus. The order
+is fixed at two.
 
 p(w | v) = (c(vw) + M p(w)) / (c(v) + M), p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)): a word's followers are
 drawn towards the words' own frequencies, and unknown words have one share of them.
@@ -15,10 +19,10 @@ as sorted blocks of bytes, one for each key range, and are merged there.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +42,8 @@ M = 20.0
 RANGE_KEYS = 3_000_000
 #: A task merges its keys when it holds so many.
 HELD_KEYS = 3_000_000
-#: Codes of log10 probabilities: steps of 1 / CODES from 0 down.
-CODES = 32.0
+#: Bytes of files that a worker holds where they can't be mapped.
+HELD_BYTES = 256 << 20
 SAMPLE_KEYS = 512
 
 
@@ -52,7 +56,7 @@ class Shard:
 
 @dataclass(frozen=True)
 class Model:
-    """words: shards by hash; pairs: shards by (word << 32 | follower), words by rank of their hashes; bounds: first key of each shard of pairs."""
+    """words: shards by hash; pairs: shards by (word << 32 | follower), words by rank of their hashes; bounds: first key of each shard."""
 
     words: tuple[Shard, ...]
     pairs: tuple[Shard, ...]
@@ -62,15 +66,30 @@ class Model:
     n_tokens: int
     n_texts: int
 
+    @property
+    def step(self) -> float:
+        """Of the 256 codes of log10 probabilities, from 0 down to that of one in all tokens."""
+        return math.log10(self.n_tokens + self.n_texts + M + 10) / 255
 
-@lru_cache(maxsize=256)
-def mapped(path: str) -> np.ndarray:
-    """The words of a file: mapped where the file system is local, else read."""
-    fs, name = file_system(path)
-    if fs.type_name == "local":
-        return np.memmap(name, U64, "r")
-    with fs.open_input_file(name) as f:
-        return np.frombuffer(f.read(), U64)
+
+_held: dict[str, tuple[Words | Followers, int]] = {}
+
+
+def level(path: str, kind: type[Words] | type[Followers]) -> Words | Followers:
+    """The level in a file: mapped where the file system is local, else read; held while HELD_BYTES allow it."""
+    if (got := _held.pop(path, None)) is None:
+        fs, name = file_system(path)
+        if fs.type_name == "local":
+            words = np.memmap(name, U64, "r")
+            got = kind(words), words.nbytes // 8  # of a mapped level only what is derived from it takes memory
+        else:
+            with fs.open_input_file(name) as f:
+                words = np.frombuffer(f.read(), U64)
+            got = kind(words), words.nbytes + words.nbytes // 8
+    _held[path] = got  # the latest is last
+    while len(_held) > 1 and sum(n for _, n in _held.values()) > HELD_BYTES:
+        del _held[next(iter(_held))]
+    return got[0]
 
 
 def save(folder: str, name: str, words: np.ndarray) -> str:
@@ -84,13 +103,13 @@ def save(folder: str, name: str, words: np.ndarray) -> str:
 
 
 def tokens_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of the texts, each text's end included, and where each text begins (one more place at the end)."""
+    """Hashes (of 63 bits) of all tokens of the texts, each text's end included, and where each text begins (one more place at the end)."""
     raw, off = text_bytes(col)
     starts, ends, doc = words_of(raw, off)
     n = np.bincount(doc, minlength=len(col))
     begin = np.concatenate([[0], np.cumsum(n + 1)])
     out = np.full(begin[-1], END)
-    out[np.arange(len(doc)) + doc] = word_hashes(raw, starts, ends, lower=True)
+    out[np.arange(len(doc)) + doc] = word_hashes(raw, starts, ends, lower=True) >> U64(1)
     return out, begin
 
 
@@ -169,22 +188,40 @@ def counted(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], bounds:
             yield close()
 
     small_batches(texts.sparkSession)
-    moved = texts.mapInArrow(count, "range int, block binary").repartition(max(1, len(bounds)), "range").sortWithinPartitions("range")
+    moved = texts.mapInArrow(count, "range int, block binary").repartitionById(max(1, len(bounds)), "range").sortWithinPartitions("range")
     return cut(moved.mapInArrow(gather, "range int, path string, first long, n long, total long"))
 
 
+class Words:
+    """A shard of words: their hashes in order, and their counts."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.bits, n_hash = (int(x) for x in words[:2])
+        self.hashes = eliasfano.Sequence(words[2 : 2 + n_hash])
+        self.packed = words[2 + n_hash :]
+
+    @staticmethod
+    def encode(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        bits = int(counts.max(initial=1)).bit_length()
+        h = eliasfano.encode(hashes)
+        return np.concatenate([np.array([bits, len(h)], U64), h, eliasfano.pack(counts.astype(U64), bits)])
+
+    def counts(self, at: np.ndarray) -> np.ndarray:
+        return eliasfano.unpack(self.packed, self.bits, at).astype(np.int64)
+
+
 def word_ids(model: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rank and count of each word (of sorted, different hashes); -1 and 0 for unknown ones."""
     ids, counts = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
     edges = [0, *np.searchsorted(hashes, model.word_bounds[1:]).tolist(), len(hashes)]
     for shard, lo, hi in zip(model.words, edges[:-1], edges[1:], strict=True):
         if hi > lo and shard.n:
-            a = mapped(shard.path)
-            known = a[: shard.n]
-            at = np.minimum(np.searchsorted(known, hashes[lo:hi]), shard.n - 1)
-            ok = known[at] == hashes[lo:hi]
+            words = level(shard.path, Words)
+            n = hi - lo
+            at = words.hashes.find(hashes[lo:hi], np.zeros(n, np.int64), np.full(n, shard.n))
+            ok = at >= 0
             ids[lo:hi][ok] = shard.first + at[ok]
-            counts[lo:hi][ok] = a[shard.n + at[ok]].astype(np.int64)
+            counts[lo:hi][ok] = words.counts(at[ok])
     return ids, counts
 
 
@@ -245,18 +282,13 @@ class Followers:
         return out
 
 
-@lru_cache(maxsize=256)
-def followers(path: str) -> Followers:
-    return Followers(mapped(path))
-
-
 def pair_codes(model: Model, keys: np.ndarray) -> np.ndarray:
     """Codes of sorted keys."""
     out = np.full(len(keys), -1)
     edges = [0, *np.searchsorted(keys, model.pair_bounds[1:]).tolist(), len(keys)]
     for shard, lo, hi in zip(model.pairs, edges[:-1], edges[1:], strict=True):
         if hi > lo and shard.n:
-            out[lo:hi] = followers(shard.path).find(keys[lo:hi])
+            out[lo:hi] = level(shard.path, Followers).find(keys[lo:hi])
     return out
 
 
@@ -294,10 +326,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     n_guess = (n_bytes or 0) // 6
     # Hashes are spread evenly, so their ranges are cut evenly.
     n_ranges = max(1, n_guess // (4 * RANGE_KEYS))
-    word_bounds = np.array([(r << 64) // n_ranges for r in range(n_ranges)], U64)
+    word_bounds = np.array([(r << 63) // n_ranges for r in range(n_ranges)], U64)
 
     def word_file(r: int, k: np.ndarray, c: np.ndarray) -> tuple[str, int, int]:
-        return save(folder, f"words-{r}", np.concatenate([k, c.astype(U64)])), 0, len(k)
+        return save(folder, f"words-{r}", Words.encode(k, c)), 0, len(k)
 
     got = counted(texts, lambda col: tokens_of(col)[0], word_bounds, word_file).orderBy("range").collect()
     by_range = {r["range"]: r for r in got}
@@ -307,6 +339,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
         words.append(Shard(row["path"] if row else "", rank, row["n"] if row else 0))
         rank += words[-1].n
     n_tokens = sum(r["total"] for r in got)
+    if rank >= (1 << 32) - 1:
+        raise ValueError(f"{rank} different words: pairs have 32 bits for each of theirs")
     base = Model(tuple(words), (), word_bounds, np.zeros(1, U64), rank, n_tokens, n_texts)
     sent = spark.sparkContext.broadcast(base)
 
@@ -325,10 +359,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
         for s in model.words:
             own = (heads >= s.first) & (heads < s.first + s.n)
             if own.any():
-                totals[own] = mapped(s.path)[s.n + heads[own] - s.first]
+                totals[own] = level(s.path, Words).counts(heads[own] - s.first)
         totals[heads == model.n_words] = model.n_texts
         of = c / (totals[inv] + M)
-        codes = np.clip(np.round(-np.log10(of) * CODES), 0, 255).astype(np.uint8)
+        codes = np.clip(np.round(-np.log10(of) / model.step), 0, 255).astype(np.uint8)
         return save(folder, f"pairs-{r}", Followers.encode(k, codes)), 0, len(k)
 
     rows = {r["range"]: r for r in counted(texts, pairs, pair_bounds, pair_file).collect()}
@@ -354,7 +388,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 codes = pair_codes(m, keys)[inv]
                 context = np.concatenate([[m.n_texts], counts[:-1]]).astype(np.float64)
                 context[begin[:-1]] = m.n_texts
-                p = np.where(codes >= 0, 10.0 ** (-codes / CODES), 0.0) + M / (context + M) * p1
+                p = np.where(codes >= 0, 10.0 ** (-codes * m.step), 0.0) + M / (context + M) * p1
                 first = begin[:-1]
                 sums = [np.add.reduceat(x, first) for x in (np.log10(p1), np.log10(p))]
                 known = np.add.reduceat((counts > 0).astype(np.int64), first)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkgraph.llm import decontaminate, embeddings, minhash, ngrams, pii, sentencepiece, substring_dedup, suffix_dedup, toxicity, warc
 from linkgraph.llm.common import table
@@ -50,6 +51,16 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.score(docs, ngrams.train(docs))
 
 
+def lm_score_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that SQL can say."""
+    return op8_lm_score(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 6))
+
+
+def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7 that SQL can say."""
+    return op7_pii(spark, sf_dir).drop("base_sha256", "spans")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
@@ -71,6 +82,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_score": op8_lm_score,
         "op9_decontaminate": op9_decontaminate,
         "op10_toxicity": op10_toxicity,
+        "lm_score_base": lm_score_base,
+        "pii_counts": pii_counts,
     }
 
 
@@ -123,7 +136,38 @@ def oracle_sql() -> dict[str, str]:
             e AS (SELECT a, b FROM both_ JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)), {REACH}
             SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON node = doc_id""",
         "op9_decontaminate": _decontaminate_sql(),
+        "lm_score_base": _base_score_sql(),
+        "pii_counts": _pii_sql(),
+    }
+
+
+def _base_score_sql() -> str:
+    # CRC-32 of a text's bytes, four bits at a time; DuckDB has no function for it.
+    table = []
+    for k in range(16):
+        for _ in range(4):
+            k = k >> 1 ^ 0xEDB88320 if k & 1 else k >> 1
+        table.append(k)
+    four = "xor({table}[({c} & 15) + 1], {c} >> 4)"
+    one = four.format(table="t", c=four.format(table="t", c="xor(c, b)"))
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: {one.replace('t[', f'({table}::BIGINT[])[')}), 4294967295::BIGINT)"
+    return f"""
+        WITH d AS (SELECT doc_id, list_append(list_transform({WORDS.format(LOWER)}, lambda x: 'w' || x), 'end') AS w, coalesce({crc} % 5 = 1, false) AS held_out FROM documents),
+        tok AS (SELECT doc_id, held_out, unnest(w) AS x FROM d), c AS (SELECT x, count(*) AS c FROM tok WHERE NOT held_out GROUP BY 1), t AS (SELECT sum(c) AS n, count(*) AS v FROM c)
+        SELECT doc_id, held_out, count(*) AS n_tokens, count(c.c) AS n_known, any_value(n)::BIGINT AS train_tokens, round(sum(log10((coalesce(c.c, 0) + 0.5) / (n + 0.5 * (v + 1)))), 6) AS base_score FROM tok LEFT JOIN c USING (x), t GROUP BY ALL"""
+
+
+def _pii_sql() -> str:
+    # Of each kind the matches, and what a match must pass; '§' stands for it.
+    digits = "regexp_replace(§, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda k: CASE WHEN (length({digits}) - k) % 2 = 0 THEN substr({digits}, k, 1)::INT ELSE (substr({digits}, k, 1)::INT * 2) // 10 + (substr({digits}, k, 1)::INT * 2) % 10 END)) % 10 = 0"
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "list_max(list_transform(string_split(§, '.'), lambda p: p::HUGEINT)) <= 255"),
+        "card": (r"[0-9]([\x20-]?[0-9])+", f"length({digits}) BETWEEN 12 AND 19 AND {luhn}"),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) BETWEEN 9 AND 15"),
     }
+    return "SELECT doc_id, " + ", ".join(f"len(list_filter(regexp_extract_all(coalesce(text, ''), '{pattern}'), lambda m: {test.replace('§', 'm')})) AS n_{kind}" for kind, (pattern, test) in kinds.items()) + " FROM documents"
 
 
 def _decontaminate_sql() -> str:
