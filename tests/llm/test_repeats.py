@@ -141,3 +141,31 @@ def test_words_and_slices():
     batch = pa.record_batch([pa.array(["x" * n for n in (5, 50, 5, 5, 500)])], names=["t"])
     parts = list(slices(batch, 60))
     assert sum(p.num_rows for p in parts) == 5 and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+
+
+def test_index_is_opened_again_for_each_batch(spark, tmp_path):
+    rng = random.Random(8)
+    passages = [" ".join(rng.choice("abcdefgh") + str(rng.randint(0, 30)) for _ in range(70)) for _ in range(5)]
+    rows = []
+    for i in range(60):
+        p = rng.choice(passages).split()
+        a = rng.randint(0, 15)
+        rows.append((i, " ".join([f"own{i}x{k}" for k in range(rng.randint(0, 40))] + p[a : a + rng.randint(45, 70)] + [f"end{i}"])))
+    docs = substring_dedup.doc_key(frame(spark, rows), "doc_id", "text")
+    path = str(tmp_path / "index")
+    spans = None
+    for k in range(10):
+        index = substring_dedup.FingerprintIndex(spark, path, parts=3)  # as another session would
+        assert index.written == k + len([x for x in range(1, k + 1) if x % 4 == 0])
+        hits = index.append(docs.filter(f"_id >= {6 * k} and _id < {6 * k + 6}"), docs.filter(f"_id < {6 * k + 6}"))
+        spans = hits if spans is None else spans.unionByName(hits)
+    assert [len(level) for level in index.levels] == [2, 2]
+    got = {r.doc_id: r.kept for r in repeats.cover(docs, spans, substring_dedup.UNIT, "doc_id", False).collect()}
+    want = {r.doc_id: r.kept for r in substring_dedup.dedup(frame(spark, rows)).collect()}
+    assert got == want and len({len(x.split()) for x in got.values()}) > 5
+    with pytest.raises(ValueError, match="comes after"):
+        index.append(docs.filter("_id = 3"), docs)
+    with pytest.raises(ValueError, match="integers"):
+        substring_dedup.dedup(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+    small = spark.createDataFrame([(1, "w " * 60), (2, "w " * 60)], "doc_id smallint, text string")
+    assert [(r.doc_id, r.n_removed) for r in sorted(substring_dedup.dedup(small).collect())] == [(1, 0), (2, 60)]
