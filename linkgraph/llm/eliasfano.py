@@ -5,9 +5,10 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
-_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-#: Place of the k-th one in a byte, by byte and k.
-_SELECT = np.array([([j for j in range(8) if b >> j & 1] + [0] * 8)[:8] for b in range(256)], np.uint8)
+_EACH, _TOPS = U64(0x0101010101010101), U64(0x8080808080808080)
+_PAIRS, _FOURS, _EIGHTS = U64(0x5555555555555555), U64(0x3333333333333333), U64(0x0F0F0F0F0F0F0F0F)
+#: Place of the k-th one in a byte, at 8 * byte + k.
+_SELECT = np.array([([j for j in range(8) if b >> j & 1] + [0] * 8)[:8] for b in range(256)], np.int64).ravel()
 
 
 def pack(values: np.ndarray, bits: int) -> np.ndarray:
@@ -54,20 +55,16 @@ class Sequence:
         self.zeros = None
 
     def _place(self, word: np.ndarray, bits: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Place of the k-th (from 0) one of bits, which are a word of the high bits."""
-        place, left, rest = word * 64, k.copy(), bits.copy()
-        done = np.zeros(len(k), bool)
-        for _ in range(8):
-            byte = (rest & U64(255)).astype(np.int64)
-            ones = _ONES[byte]
-            here = ~done & (left < ones)
-            place[here] += _SELECT[byte[here], left[here]]
-            done |= here
-            go = ~done
-            left[go] -= ones[go]
-            place[go] += 8
-            rest >>= U64(8)
-        return place
+        """Place of the k-th (from 0) one of bits, which are a word of the high bits; any place where there are fewer."""
+        k = k.astype(U64) & U64(63)
+        ones = bits - ((bits >> U64(1)) & _PAIRS)
+        ones = (ones & _FOURS) + ((ones >> U64(2)) & _FOURS)
+        ones = ((ones + (ones >> U64(4))) & _EIGHTS) * _EACH  # in each byte: ones of it and of the bytes below
+        byte = np.minimum(np.bitwise_count(((k * _EACH) | _TOPS) - ones & _TOPS), 7).astype(U64)
+        shift = byte << U64(3)
+        left = (k - (((ones << U64(8)) >> shift) & U64(255))) & U64(7)
+        inside = _SELECT[((((bits >> shift) & U64(255)) << U64(3)) | left).astype(np.int64)]
+        return word * 64 + shift.astype(np.int64) + inside
 
     def select(self, i: np.ndarray) -> np.ndarray:
         """Place of the i-th one among the high bits."""
