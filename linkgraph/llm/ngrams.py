@@ -1,17 +1,21 @@
-"""Language-model scoring with an Elias-Fano n-gram trie.
+"""Language-model scoring with an Elias-Fano n-gram trie of three levels.
 
 Level 1 is the words: their hashes are a monotone Elias-Fano sequence, found by successor search, and
 their counts lie beside it in as few bits as the largest needs (the base score asks for exact ones).
-Level 2 is the followers of each word: pointers and followers are monotone Elias-Fano sequences,
-followers made so by adding to each context's ids the last value of the context before. A pair is found
-by a successor search inside its context's range, and its smoothed probability is a code of eight bits,
-spread evenly over the logarithms that a corpus of this size can have, so that none is clipped. The
-levels lie in files by key range, which workers map into memory where the file system is local, and
-else hold in a memory of bounded bytes; so what a worker holds doesn't grow with the corpus. The order
-is fixed at two.
-
-p(w | v) = (c(vw) + M p(w)) / (c(v) + M), p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)): a word's followers are
-drawn towards the words' own frequencies, and unknown words have one share of them.
+Level 2 is the followers of each word and level 3 those of each pair, both of one form: pointers and
+followers are monotone Elias-Fano sequences, followers made so by adding to each context's ids the last
+value of the context before. A context is the rank of a word or pair in the level above, so an n-gram is
+found by a successor search inside its context's range. Its smoothed probability is a code of eight bits,
+spread evenly over the logarithms that a corpus of this size can have, so that none is clipped; a pair's
+count, which weighs its followers against the shorter context, is one of 256 counts in geometric steps up to
+the number of tokens, taken upwards. The levels lie in files by key range, which workers map into memory
+where the file system is local, and else hold in a memory of bounded bytes; so what a worker holds doesn't
+grow with the corpus.
+
+p(w | uv) = (c(uvw) + M p(w | v)) / (c(uv) + M), p(w | v) = (c(vw) + M p(w)) / (c(v) + M),
+p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)): followers of a context are drawn towards those of the shorter one, and
+unknown words have one share of the words' own frequencies. A text's first token has the context of a
+text's beginning, and its second the pair of that and the first.
 
 Counts come from all training documents. A task counts its whole part before anything moves; counts move
 as sorted blocks of bytes, one for each key range, and are merged there.
@@ -22,7 +26,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,10 @@ from linkgraph.llm.warc import file_system
 
 #: The hash that stands for a text's end.
 END = U64(0x1)
-#: Weight of the words' own frequencies among a word's followers.
+#: Weight of the shorter context among a context's followers.
 M = 20.0
+#: Stands for an n-gram that can't be in the model.
+NONE = U64(2**64 - 1)
 #: Keys of one range, about.
 RANGE_KEYS = 3_000_000
 #: A task merges its keys when it holds so many.
@@ -56,12 +62,14 @@ class Shard:
 
 @dataclass(frozen=True)
 class Model:
-    """words: shards by hash; pairs: shards by (word << 32 | follower), words by rank of their hashes; bounds: first key of each shard."""
+    """words: shards by hash; pairs and triples: shards by (context << shift | follower), words and pairs by rank; bounds: first key of each shard."""
 
     words: tuple[Shard, ...]
     pairs: tuple[Shard, ...]
+    triples: tuple[Shard, ...]
     word_bounds: np.ndarray
     pair_bounds: np.ndarray
+    triple_bounds: np.ndarray
     n_words: int
     n_tokens: int
     n_texts: int
@@ -71,6 +79,19 @@ class Model:
         """Of the 256 codes of log10 probabilities, from 0 down to that of one in all tokens."""
         return math.log10(self.n_tokens + self.n_texts + M + 10) / 255
 
+    @property
+    def shift(self) -> int:
+        """Bits of a word's rank."""
+        return max(1, self.n_words.bit_length())
+
+    @property
+    def counts(self) -> np.ndarray:
+        """The counts that a pair's code stands for; every count up to the first gap, then geometric steps."""
+        return np.unique(np.ceil(np.geomspace(1, max(2, self.n_tokens), 256)))
+
+    def code(self, p: np.ndarray) -> np.ndarray:
+        return np.clip(np.round(-np.log10(p) / self.step), 0, 255).astype(np.uint8)
+
 
 _held: dict[str, tuple[Words | Followers, int]] = {}
 
@@ -80,7 +101,7 @@ def level(path: str, kind: type[Words] | type[Followers]) -> Words | Followers:
     if (got := _held.pop(path, None)) is None:
         fs, name = file_system(path)
         if fs.type_name == "local":
-            words = np.memmap(name, U64, "r")
+            words = np.asarray(np.memmap(name, U64, "r"))
             got = kind(words), words.nbytes // 8  # of a mapped level only what is derived from it takes memory
         else:
             with fs.open_input_file(name) as f:
@@ -233,63 +254,87 @@ def tokens_known(model: Model, col: pa.Array) -> tuple[np.ndarray, np.ndarray, n
     return ids[inv], counts[inv], begin
 
 
-def pair_keys(ids: np.ndarray, begin: np.ndarray, start: int) -> np.ndarray:
-    """(word << 32 | follower) of each token and the one before it; before a text's first comes `start`. 2**64 - 1 where either is unknown."""
-    before = np.concatenate([[start], ids[:-1]])
-    before[begin[:-1]] = start
-    out = (before.astype(U64) << U64(32)) | ids.astype(U64)
-    out[(before < 0) | (ids < 0)] = U64(2**64 - 1)
+def pair_keys(model: Model, ids: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Key of each token and the one before it, which for a text's first is its beginning, of rank n_words."""
+    before = np.concatenate([[model.n_words], ids[:-1]])
+    before[begin[:-1]] = model.n_words
+    return key_of(model, before, ids)
+
+
+def triple_keys(model: Model, ids: np.ndarray, pair_ranks: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Key of each token and the pair before it; a text's first has none."""
+    before = np.concatenate([[-1], pair_ranks[:-1]])
+    before[begin[:-1]] = -1
+    return key_of(model, before, ids)
+
+
+def key_of(model: Model, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """context << shift | id; NONE where either is unknown."""
+    out = (context.astype(U64) << U64(model.shift)) | ids.astype(U64)
+    out[(context < 0) | (ids < 0)] = NONE
     return out
 
 
 class Followers:
-    """A shard of pairs: pointers of each word in its range, followers, and codes."""
+    """A shard of pairs or triples: pointers of each context in its range, followers, codes of probabilities, and codes of counts if given."""
 
     def __init__(self, words: np.ndarray) -> None:
-        self.low, n_ptr, n_fol, self.n = (int(x) for x in words[:4])
-        self.pointers = eliasfano.Sequence(words[4 : 4 + n_ptr])
-        self.followers = eliasfano.Sequence(words[4 + n_ptr : 4 + n_ptr + n_fol])
-        self.codes = words[4 + n_ptr + n_fol :].view(np.uint8)
+        self.shift, self.low, n_ptr, n_fol, self.n, n_codes = (int(x) for x in words[:6])
+        self.pointers = eliasfano.Sequence(words[6 : 6 + n_ptr])
+        self.followers = eliasfano.Sequence(words[6 + n_ptr : 6 + n_ptr + n_fol])
+        at = 6 + n_ptr + n_fol
+        self.codes, self.counts = words[at : at + n_codes].view(np.uint8), words[at + n_codes :].view(np.uint8)
+
+    @staticmethod
+    def split(keys: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        return (keys >> U64(shift)).astype(np.int64), keys & U64((1 << shift) - 1)
 
     @staticmethod
-    def encode(keys: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        word, follower = (keys >> U64(32)).astype(np.int64), keys & U64(0xFFFFFFFF)
-        low = int(word[0])
-        pointers = np.searchsorted(word, np.arange(low, int(word[-1]) + 2))
-        heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        lasts = np.append(heads[1:], len(word)) - 1
+    def encode(keys: np.ndarray, shift: int, codes: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
+        context, follower = Followers.split(keys, shift)
+        low = int(context[0])
+        pointers = np.searchsorted(context, np.arange(low, int(context[-1]) + 2))
+        heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        lasts = np.append(heads[1:], len(context)) - 1
         base = np.concatenate([[0], np.cumsum(follower[lasts] + U64(1))[:-1]]).astype(U64)  # the last value of the context before
         values = follower + U64(1) + np.repeat(base, lasts - heads + 1)
         p, f = eliasfano.encode(pointers), eliasfano.encode(values)
-        padded = np.zeros(-(-len(codes) // 8) * 8, np.uint8)
-        padded[: len(codes)] = codes
-        return np.concatenate([np.array([low, len(p), len(f), len(keys)], U64), p, f, padded.view(U64)])
+        tail = [np.pad(x, (0, -len(x) % 8)).view(U64) for x in (codes, counts) if x is not None]
+        return np.concatenate([np.array([shift, low, len(p), len(f), len(keys), len(tail[0])], U64), p, f, *tail])
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Codes of the pairs; -1 where there is none."""
-        word, follower = (keys >> U64(32)).astype(np.int64) - self.low, keys & U64(0xFFFFFFFF)
+        """Places of the keys in the shard; -1 where there is none."""
+        context, follower = Followers.split(keys, self.shift)
+        context -= self.low
         out = np.full(len(keys), -1)
-        ok = np.flatnonzero((word >= 0) & (word < self.pointers.n - 1))
-        lo, hi = self.pointers.get(word[ok]).astype(np.int64), self.pointers.get(word[ok] + 1).astype(np.int64)
+        ok = np.flatnonzero((context >= 0) & (context < self.pointers.n - 1))
+        lo, hi = self.pointers.get(context[ok]).astype(np.int64), self.pointers.get(context[ok] + 1).astype(np.int64)
         some = lo < hi
         ok, lo, hi = ok[some], lo[some], hi[some]
         base = np.zeros(len(ok), U64)
         later = lo > 0
         base[later] = self.followers.get(lo[later] - 1)
-        at = self.followers.find(base + follower[ok] + U64(1), lo, hi)
-        hit = at >= 0
-        out[ok[hit]] = self.codes[at[hit]]
+        out[ok] = self.followers.find(base + follower[ok] + U64(1), lo, hi)
         return out
 
 
-def pair_codes(model: Model, keys: np.ndarray) -> np.ndarray:
-    """Codes of sorted keys."""
-    out = np.full(len(keys), -1)
-    edges = [0, *np.searchsorted(keys, model.pair_bounds[1:]).tolist(), len(keys)]
-    for shard, lo, hi in zip(model.pairs, edges[:-1], edges[1:], strict=True):
+def found(shards: tuple[Shard, ...], bounds: np.ndarray, keys: np.ndarray, counted_too: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rank, code of probability and, if asked, code of count of each key; -1 where it isn't in the model."""
+    known = keys != NONE
+    some, inv = np.unique(keys[known], return_inverse=True)
+    out = np.full((3, len(some)), -1)
+    edges = [0, *np.searchsorted(some, bounds[1:]).tolist(), len(some)]
+    for shard, lo, hi in zip(shards, edges[:-1], edges[1:], strict=True):
         if hi > lo and shard.n:
-            out[lo:hi] = level(shard.path, Followers).find(keys[lo:hi])
-    return out
+            own = level(shard.path, Followers)
+            at = own.find(some[lo:hi])
+            hit = np.flatnonzero(at >= 0)
+            out[0, lo + hit], out[1, lo + hit] = shard.first + at[hit], own.codes[at[hit]]
+            if counted_too:
+                out[2, lo + hit] = own.counts[at[hit]]
+    back = np.full((3, len(keys)), -1)
+    back[:, known] = out[:, inv]
+    return back[0], back[1], back[2]
 
 
 def held_out(id_col: str) -> Column:
@@ -339,35 +384,54 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
         words.append(Shard(row["path"] if row else "", rank, row["n"] if row else 0))
         rank += words[-1].n
     n_tokens = sum(r["total"] for r in got)
-    if rank >= (1 << 32) - 1:
-        raise ValueError(f"{rank} different words: pairs have 32 bits for each of theirs")
-    base = Model(tuple(words), (), word_bounds, np.zeros(1, U64), rank, n_tokens, n_texts)
-    sent = spark.sparkContext.broadcast(base)
-
-    def pairs(col: pa.Array) -> np.ndarray:
-        ids, _, begin = tokens_known(sent.value, col)
-        return pair_keys(ids, begin, sent.value.n_words)
-
-    pair_bounds = bounds_of(texts, pairs, n_guess)
-
-    def pair_file(r: int, k: np.ndarray, c: np.ndarray) -> tuple[str, int, int]:
-        model = sent.value
-        word = (k >> U64(32)).astype(np.int64)
-        of = np.empty(len(k))
-        heads, inv = np.unique(word, return_inverse=True)
-        totals = np.empty(len(heads))
-        for s in model.words:
-            own = (heads >= s.first) & (heads < s.first + s.n)
-            if own.any():
-                totals[own] = level(s.path, Words).counts(heads[own] - s.first)
-        totals[heads == model.n_words] = model.n_texts
-        of = c / (totals[inv] + M)
-        codes = np.clip(np.round(-np.log10(of) / model.step), 0, 255).astype(np.uint8)
-        return save(folder, f"pairs-{r}", Followers.encode(k, codes)), 0, len(k)
+    if 2 * rank.bit_length() > 64:
+        raise ValueError(f"{rank} different words: a pair's key has 64 bits for two of them")
+    none = np.zeros(1, U64)
+    base = Model(tuple(words), (), (), word_bounds, none, none, rank, n_tokens, n_texts)
+    pairs, pair_bounds = _followers(texts, base, n_guess, folder)
+    n_pairs = sum(s.n for s in pairs)
+    if base.shift + n_pairs.bit_length() > 64:
+        raise ValueError(f"{rank} different words and {n_pairs} different pairs: a triple's key has 64 bits for one of each")
+    model = replace(base, pairs=pairs, pair_bounds=pair_bounds)
+    triples, triple_bounds = _followers(texts, model, n_guess, folder)
+    return replace(model, triples=triples, triple_bounds=triple_bounds)
+
+
+def _followers(texts: DataFrame, model: Model, n_guess: int, folder: str) -> tuple[tuple[Shard, ...], np.ndarray]:
+    """The next level of a model: its shards and their bounds; that of pairs, or of triples if the model has pairs."""
+    sent = texts.sparkSession.sparkContext.broadcast(model)
+    third = bool(model.pairs)
+
+    def keys(col: pa.Array) -> np.ndarray:
+        m = sent.value
+        ids, _, begin = tokens_known(m, col)
+        out = pair_keys(m, ids, begin)
+        if third:
+            out = triple_keys(m, ids, found(m.pairs, m.pair_bounds, out)[0], begin)
+        return out[out != NONE]
 
-    rows = {r["range"]: r for r in counted(texts, pairs, pair_bounds, pair_file).collect()}
-    shards = tuple(Shard(rows[r]["path"], 0, rows[r]["n"]) if r in rows else Shard("", 0, 0) for r in range(len(pair_bounds)))
-    return Model(tuple(words), shards, word_bounds, pair_bounds, rank, n_tokens, n_texts)
+    def file(r: int, k: np.ndarray, c: np.ndarray) -> tuple[str, int, int]:
+        m = sent.value
+        heads, inv = np.unique(Followers.split(k, m.shift)[0], return_inverse=True)
+        totals = np.empty(len(heads))
+        for s in m.pairs if third else m.words:
+            own = np.flatnonzero((heads >= s.first) & (heads < s.first + s.n))
+            if len(own):
+                at = heads[own] - s.first
+                totals[own] = m.counts[level(s.path, Followers).counts[at]] if third else level(s.path, Words).counts(at)
+        if not third:
+            totals[heads == m.n_words] = m.n_texts
+        codes = m.code(c / (totals[inv] + M))
+        counts = None if third else np.searchsorted(m.counts, c).astype(np.uint8)
+        return save(folder, f"{'triples' if third else 'pairs'}-{r}", Followers.encode(k, m.shift, codes, counts)), 0, len(k)
+
+    bounds = bounds_of(texts, keys, n_guess)
+    rows = {r["range"]: r for r in counted(texts, keys, bounds, file).collect()}
+    shards, first = [], 0
+    for r in range(len(bounds)):
+        shards.append(Shard(rows[r]["path"], first, rows[r]["n"]) if r in rows else Shard("", first, 0))
+        first += shards[-1].n
+    return tuple(shards), bounds
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -380,15 +444,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
+        sizes = m.counts
         for batch in batches:
             for part in slices(batch):
                 ids, counts, begin = tokens_known(m, part.column(2))
                 p1 = (counts + 0.5) / (m.n_tokens + 0.5 * (m.n_words + 1))
-                keys, inv = np.unique(pair_keys(ids, begin, m.n_words), return_inverse=True)
-                codes = pair_codes(m, keys)[inv]
+                ranks, codes, pair_counts = found(m.pairs, m.pair_bounds, pair_keys(m, ids, begin), counted_too=True)
                 context = np.concatenate([[m.n_texts], counts[:-1]]).astype(np.float64)
                 context[begin[:-1]] = m.n_texts
-                p = np.where(codes >= 0, 10.0 ** (-codes * m.step), 0.0) + M / (context + M) * p1
+                p2 = np.where(codes >= 0, 10.0 ** (-codes * m.step), 0.0) + M / (context + M) * p1
+                codes = found(m.triples, m.triple_bounds, triple_keys(m, ids, ranks, begin))[1]
+                context = np.concatenate([[0.0], np.where(pair_counts >= 0, sizes[pair_counts], 0.0)[:-1]])
+                context[begin[:-1]] = 0.0  # nothing stands before the beginning
+                p = np.where(codes >= 0, 10.0 ** (-codes * m.step), 0.0) + M / (context + M) * p2
                 first = begin[:-1]
                 sums = [np.add.reduceat(x, first) for x in (np.log10(p1), np.log10(p))]
                 known = np.add.reduceat((counts > 0).astype(np.int64), first)

@@ -35,16 +35,18 @@ def test_scores(spark, monkeypatch, keys):
     tokens = [((i, t), (t or "").translate(LOWER).encode().split() + [None], i is not None and zlib.crc32(str(i).encode()) % 5 == 1) for i, t in rows]
     c = collections.Counter(w for _, ws, h in tokens if not h for w in ws)
     pairs = collections.Counter(p for _, ws, h in tokens if not h for p in zip([0, *ws[:-1]], ws, strict=True))
+    triples = collections.Counter(p for _, ws, h in tokens if not h for p in zip([0, *ws[:-2]], ws[:-1], ws[1:]))
     n, v, texts = sum(c.values()), len(c), sum(not h for *_, h in tokens)
     assert (model.n_tokens, model.n_words) == (n, v)
     want = []
     for (i, _), ws, h in tokens:
         p1 = [(c[w] + 0.5) / (n + 0.5 * (v + 1)) for w in ws]
         p2 = [(pairs[(a, w)] + ngrams.M * p) / ((texts if a == 0 else c[a]) + ngrams.M) for a, w, p in zip([0, *ws[:-1]], ws, p1, strict=True)]
-        want.append((i, h, len(ws), sum(c[w] > 0 for w in ws), sum(map(math.log10, p1)), sum(map(math.log10, p2))))
+        p3 = [p2[0], *((triples[(a, b, w)] + ngrams.M * p) / (pairs[(a, b)] + ngrams.M) for a, b, w, p in zip([0, *ws[:-2]], ws[:-1], ws[1:], p2[1:]))]
+        want.append((i, h, len(ws), sum(c[w] > 0 for w in ws), sum(map(math.log10, p1)), sum(map(math.log10, p3))))
     got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.base_score, r.score) for r in ngrams.score(df, model).collect()]
     for x, y in zip(sorted(got, key=repr), sorted(want, key=repr), strict=True):
-        assert x[:4] == y[:4] and math.isclose(x[4], y[4], abs_tol=1e-9) and abs(x[5] - y[5]) <= 0.02 * x[2]  # codes are steps of 1/32
+        assert x[:4] == y[:4] and math.isclose(x[4], y[4], abs_tol=1e-9) and abs(x[5] - y[5]) <= 0.02 * x[2]  # codes and counts are steps
 
 
 def test_no_training_documents(spark):
