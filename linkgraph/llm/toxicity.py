@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import BYTE, LOWER, arrow_map, fresh, mix, prefix_sums, range_hash, text_bytes, words_of
+from linkgraph.llm.common import BYTE, LOWER, arrow_map, cut, fresh, mix, prefix_sums, range_hash, text_bytes, words_of
 
 BITS = 18
 #: The model is fitted on at most so many labelled rows, those of smallest xxhash64(doc_id).
@@ -134,32 +134,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def telling(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Features whose presence goes with a label: log-likelihood ratio against independence of at least EVIDENCE."""
-    n = len(labels)
-    pos = labels == 1
-    count = np.bincount(np.concatenate(texts), minlength=1 << BITS).astype(np.float64)
-    with_pos = np.bincount(np.concatenate([t for t, y in zip(texts, pos, strict=True) if y]), minlength=1 << BITS).astype(np.float64)
-    total = np.zeros(1 << BITS)
-    for seen, of in ((with_pos, pos.sum()), (count - with_pos, n - pos.sum())):
+def telling(count: np.ndarray, with_label: np.ndarray, n: int, n_label: int) -> np.ndarray:
+    """Features whose presence goes with a label: log-likelihood ratio against independence of at least EVIDENCE.
+
+    count and with_label: of n texts, how many have each feature; and how many of the n_label labelled 1.
+    """
+    total = np.zeros(len(count))
+    for seen, of in ((with_label, n_label), (count - with_label, n - n_label)):
         for k, all_k in ((seen, count), (of - seen, n - count)):
-            total += np.where(k > 0, k * np.log(np.maximum(k, 1) * n / np.maximum(all_k * of, 1)), 0)
+            total += np.where(k > 0, k * np.log(np.maximum(k, 1) * max(n, 1) / np.maximum(all_k * of, 1)), 0)
     return 2 * total >= EVIDENCE
 
 
 def fit(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 40, rate: float = 0.3, l2: float = 1e-5, counterfactual: float = 1.0, batch: int = 64, seed: int = 7) -> Model:
-    """texts: features of each text, of its version with a mention, and of its counterfactual.
+    """texts: features of each text, those that only its version with a mention has, and those that only its counterfactual has.
 
-    Only features that go with a label count (telling). AdaGrad on log loss, plus `counterfactual` times the squared difference of the two versions'
-    scores, plus l2. Classes are weighted to count alike. Without both labels the model says 0.5.
+    AdaGrad on log loss, plus `counterfactual` times the squared difference of the two versions' log odds,
+    plus l2. Classes are weighted to count alike. Without both labels the model says 0.5.
     """
     w, b = np.zeros(1 << BITS), 0.0
     if len({*labels.tolist()}) < 2:
         return Model(w.astype(np.float32), b)
     seen, seen_b, rng = np.full(1 << BITS, 1e-6), 1e-6, np.random.default_rng(seed)
-    keep = telling([t[0] for t in texts], labels)
-    keep[features(pa.array([form for t in _GROUP_OF for form in (t, t.capitalize(), t.upper())]))[1]] = True
-    texts = [tuple(v[keep[v]] for v in t) for t in texts]
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     for _ in range(epochs):
@@ -174,7 +170,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarr
             cols = [texts[i][v] for v in (0, 1, 2) for i in idx]
             grads = np.repeat(np.concatenate([g, change, -change]), [len(c) for c in cols])
             at, inv = np.unique(np.concatenate(cols), return_inverse=True)
-            step = np.bincount(inv, grads) / len(idx) + l2 * w[at]
+            step = np.bincount(inv, grads, minlength=len(at)) / len(idx) + l2 * w[at]
             seen[at] += step**2
             w[at] -= rate * step / np.sqrt(seen[at])
             gb /= len(idx)
@@ -187,7 +183,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The model of the labelled rows whose crc32(id as text) mod 3 isn't 1, of at most max_train of them.
 
     A row of labels without id or label is left out; an id labelled more than once is toxic if any of
-    its rows is. Of the documents of one id each is learnt from. The driver gets features only.
+    its rows is. Of the documents of one id each is learnt from. Features are counted by Spark; the driver
+    gets the counts, at most 2**BITS, and of each text only the features that go with a label.
     """
     chosen = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).na.drop().filter(F.expr("crc32(cast(_id as string)) % 3 <> 1")).groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(max_train)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").select("_y", F.crc32(F.col("_id").cast("string")).alias("_r"), "_text")
@@ -195,21 +192,49 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         plain = [x or "" for x in batch.column(2).to_pylist()]
         both = [swapped(x, r) for x, r in zip(plain, batch.column(1).to_pylist(), strict=True)]
-        cols = []
+        parts = []
         for part in (plain, [x for x, _ in both], [x for _, x in both]):
             rows, feats = features(pa.array(part, pa.string()))
-            off = np.searchsorted(rows, np.arange(len(part) + 1)).astype(np.int32)
-            cols.append(pa.ListArray.from_arrays(pa.array(off), pa.array(feats.astype(np.int32))))
+            parts.append((rows, feats))
+        # Of the two versions only what one has and the other hasn't moves their difference.
+        keys = [(rows << BITS) | feats for rows, feats in parts]
+        only = [np.setdiff1d(keys[k], keys[j], assume_unique=True) for k, j in ((1, 2), (2, 1))]
+        cols = [as_lists(k, len(plain)) for k in (keys[0], *only)]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["y", "r", "a", "b", "c"])
 
-    got = arrow_map(texts, run, "y int, r long, a array<int>, b array<int>, c array<int>").toArrow().combine_chunks()
+    schema = "y int, r long, a array<int>, b array<int>, c array<int>"
+    rows = cut(arrow_map(texts, run, schema))
+    n, n_label = rows.agg(F.count("*"), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0))).first()
+    seen = rows.select("y", F.explode("a").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum((F.col("y") == 1).cast("long")).alias("y")).toArrow()
+    count, with_label = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    at = seen["f"].to_numpy()
+    count[at], with_label[at] = seen["n"].to_numpy(), seen["y"].to_numpy()
+    keep = telling(count, with_label, n, n_label)
+    keep[features(pa.array([form for t in _GROUP_OF for form in (t, t.capitalize(), t.upper())]))[1]] = True
+
+    def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cols = []
+        for col in batch.columns[2:]:
+            feats = col.flatten().to_numpy()
+            of = np.repeat(np.arange(len(col)), np.diff(col.offsets.to_numpy()))
+            some = keep[feats]
+            cols.append(as_lists((of[some] << BITS) | feats[some], len(col)))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=batch.schema.names)
+
+    got = arrow_map(rows, choose, schema).toArrow().combine_chunks()
     y, r = got["y"].to_numpy(), got["r"].to_numpy()
     lists = [[x.values.to_numpy() for x in got[c]] for c in "abc"]
     # The order in which rows arrive must not matter.
-    order = sorted(range(len(y)), key=lambda i: (r[i], len(lists[0][i]), y[i]))
+    order = sorted(range(len(y)), key=lambda i: (r[i], y[i], *(x[i].tobytes() for x in lists)))
     return fit([tuple(x[i] for x in lists) for i in order], y[order].astype(np.float64), **options)
 
 
+def as_lists(keys: np.ndarray, n: int) -> pa.Array:
+    """The features in keys (row << BITS | feature, sorted), as a list for each of n rows."""
+    off = np.searchsorted(keys, np.arange(n + 1) << BITS).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.array((keys & ((1 << BITS) - 1)).astype(np.int32)))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The id, held_out, score and predicted of each row of docs; null and empty texts get the score of no words. Rows without id are not held out."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
