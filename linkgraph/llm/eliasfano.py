@@ -28,8 +28,10 @@ def unpack(words: np.ndarray, bits: int, at: np.ndarray) -> np.ndarray:
         return np.zeros(len(at), U64)
     pos = at.astype(U64) * U64(bits)
     word, shift = (pos >> U64(6)).astype(np.int64), pos & U64(63)
-    high = np.where(shift > 0, words[word + 1] << ((U64(64) - shift) & U64(63)), U64(0))
-    return ((words[word] >> shift) | high) & U64((1 << bits) - 1)
+    out = words[word] >> shift
+    over = np.flatnonzero(shift > U64(64 - bits))  # the rest lies in the next word
+    out[over] |= words[word[over] + 1] << (U64(64) - shift[over])
+    return out & U64((1 << bits) - 1)
 
 
 def encode(values: np.ndarray) -> np.ndarray:
@@ -94,15 +96,23 @@ class Sequence:
         h = (target >> U64(self.bits)).astype(np.int64)
         lo, hi = np.maximum(lo, self.bucket(h)), np.minimum(hi, self.bucket(h + 1))
         want = target & U64((1 << self.bits) - 1)
-        a, b = lo.copy(), hi.copy()
-        live = np.flatnonzero(a < b)
+        out = np.full(len(target), -1)
+        a = lo.copy()
+        live = np.flatnonzero(a < hi)
+        for _ in range(2):  # most have few values with their high bits
+            low = unpack(self.low, self.bits, a[live])
+            same = live[low == want[live]]
+            out[same] = a[same]
+            live = live[low < want[live]]
+            a[live] += 1
+            live = live[a[live] < hi[live]]
+        left, b = live, hi.copy()
         while len(live):
             mid = (a[live] + b[live]) >> 1
             up = unpack(self.low, self.bits, mid) < want[live]
             a[live[up]], b[live[~up]] = mid[up] + 1, mid[~up]
             live = live[a[live] < b[live]]
-        ok = np.flatnonzero(a < hi)
-        out = np.full(len(target), -1)
-        same = unpack(self.low, self.bits, a[ok]) == want[ok]
-        out[ok[same]] = a[ok[same]]
+        left = left[a[left] < hi[left]]
+        same = left[unpack(self.low, self.bits, a[left]) == want[left]]
+        out[same] = a[same]
         return out

@@ -303,38 +303,43 @@ class Followers:
         return np.concatenate([np.array([shift, low, len(p), len(f), len(keys), len(tail[0])], U64), p, f, *tail])
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of the keys in the shard; -1 where there is none."""
+        """Places of sorted keys in the shard; -1 where there is none."""
         context, follower = Followers.split(keys, self.shift)
         context -= self.low
         out = np.full(len(keys), -1)
-        ok = np.flatnonzero((context >= 0) & (context < self.pointers.n - 1))
-        lo, hi = self.pointers.get(context[ok]).astype(np.int64), self.pointers.get(context[ok] + 1).astype(np.int64)
-        some = lo < hi
-        ok, lo, hi = ok[some], lo[some], hi[some]
-        base = np.zeros(len(ok), U64)
-        later = lo > 0
+        first, last = np.searchsorted(context, [0, self.pointers.n - 1])
+        context, follower = context[first:last], follower[first:last]
+        if not len(context):
+            return out
+        new = np.concatenate([[True], context[1:] != context[:-1]])
+        heads = context[new]  # each context's range is looked up once
+        lo, hi = self.pointers.get(heads).astype(np.int64), self.pointers.get(heads + 1).astype(np.int64)
+        base = np.zeros(len(heads), U64)
+        later = np.flatnonzero((lo > 0) & (lo < hi))
         base[later] = self.followers.get(lo[later] - 1)
-        out[ok] = self.followers.find(base + follower[ok] + U64(1), lo, hi)
+        of = np.cumsum(new) - 1
+        some = np.flatnonzero((lo < hi)[of])
+        of = of[some]
+        out[first + some] = self.followers.find(base[of] + follower[some] + U64(1), lo[of], hi[of])
         return out
 
 
 def found(shards: tuple[Shard, ...], bounds: np.ndarray, keys: np.ndarray, counted_too: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rank, code of probability and, if asked, code of count of each key; -1 where it isn't in the model."""
-    known = keys != NONE
-    some, inv = np.unique(keys[known], return_inverse=True)
-    out = np.full((3, len(some)), -1)
-    edges = [0, *np.searchsorted(some, bounds[1:]).tolist(), len(some)]
+    some, inv = np.unique(keys, return_inverse=True)
+    n = len(some) - int(len(some) > 0 and some[-1] == NONE)
+    ranks, codes, counts = (np.full(len(some), -1, kind) for kind in (np.int64, np.int16, np.int16))
+    edges = [0, *np.searchsorted(some[:n], bounds[1:]).tolist(), n]
     for shard, lo, hi in zip(shards, edges[:-1], edges[1:], strict=True):
         if hi > lo and shard.n:
             own = level(shard.path, Followers)
             at = own.find(some[lo:hi])
             hit = np.flatnonzero(at >= 0)
-            out[0, lo + hit], out[1, lo + hit] = shard.first + at[hit], own.codes[at[hit]]
+            at, hit = at[hit], hit + lo
+            ranks[hit], codes[hit] = shard.first + at, own.codes[at]
             if counted_too:
-                out[2, lo + hit] = own.counts[at[hit]]
-    back = np.full((3, len(keys)), -1)
-    back[:, known] = out[:, inv]
-    return back[0], back[1], back[2]
+                counts[hit] = own.counts[at]
+    return ranks[inv], codes[inv], counts[inv]
 
 
 def held_out(id_col: str) -> Column:
@@ -452,11 +457,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 ranks, codes, pair_counts = found(m.pairs, m.pair_bounds, pair_keys(m, ids, begin), counted_too=True)
                 context = np.concatenate([[m.n_texts], counts[:-1]]).astype(np.float64)
                 context[begin[:-1]] = m.n_texts
-                p2 = np.where(codes >= 0, 10.0 ** (-codes * m.step), 0.0) + M / (context + M) * p1
+                p2 = np.where(codes >= 0, 10.0 ** (codes * -m.step), 0.0) + M / (context + M) * p1
                 codes = found(m.triples, m.triple_bounds, triple_keys(m, ids, ranks, begin))[1]
                 context = np.concatenate([[0.0], np.where(pair_counts >= 0, sizes[pair_counts], 0.0)[:-1]])
                 context[begin[:-1]] = 0.0  # nothing stands before the beginning
-                p = np.where(codes >= 0, 10.0 ** (-codes * m.step), 0.0) + M / (context + M) * p2
+                p = np.where(codes >= 0, 10.0 ** (codes * -m.step), 0.0) + M / (context + M) * p2
                 first = begin[:-1]
                 sums = [np.add.reduceat(x, first) for x in (np.log10(p1), np.log10(p))]
                 known = np.add.reduceat((counts > 0).astype(np.int64), first)
