@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkgraph.llm import eliasfano
-from linkgraph.llm.common import U64, cut, scratch, slices, small_batches, text_bytes, word_hashes, words_of
+from linkgraph.llm.common import U64, cut, gathered, scratch, slices, small_batches, text_bytes, word_hashes, words_of
 from linkgraph.llm.warc import file_system
 
 #: The hash that stands for a text's end.
@@ -51,6 +51,9 @@ HELD_KEYS = 3_000_000
 #: Bytes of files that a worker holds where they can't be mapped.
 HELD_BYTES = 256 << 20
 SAMPLE_KEYS = 512
+#: Bytes of text whose keys are looked up together, between these bounds so many for each shard of a level: each lookup visits every shard, which costs the same for few keys as for many.
+TOGETHER_BYTES = (8 << 20, 16 << 20)
+SHARD_BYTES = 16 << 10
 
 
 @dataclass(frozen=True)
@@ -89,6 +92,11 @@ class Model:
         """The counts that a pair's code stands for; every count up to the first gap, then geometric steps."""
         return np.unique(np.ceil(np.geomspace(1, max(2, self.n_tokens), 256)))
 
+    @property
+    def together(self) -> int:
+        """Bytes of text whose keys are looked up together."""
+        return int(np.clip(SHARD_BYTES * max(len(self.words), len(self.pairs), len(self.triples)), *TOGETHER_BYTES))
+
     def code(self, p: np.ndarray) -> np.ndarray:
         return np.clip(np.round(-np.log10(p) / self.step), 0, 255).astype(np.uint8)
 
@@ -125,13 +133,16 @@ def save(folder: str, name: str, words: np.ndarray) -> str:
 
 def tokens_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (of 63 bits) of all tokens of the texts, each text's end included, and where each text begins (one more place at the end)."""
-    raw, off = text_bytes(col)
-    starts, ends, doc = words_of(raw, off)
-    n = np.bincount(doc, minlength=len(col))
-    begin = np.concatenate([[0], np.cumsum(n + 1)])
-    out = np.full(begin[-1], END)
-    out[np.arange(len(doc)) + doc] = word_hashes(raw, starts, ends, lower=True) >> U64(1)
-    return out, begin
+    hashes, sizes = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for part in slices(pa.RecordBatch.from_arrays([col], names=["text"])):
+        raw, off = text_bytes(part.column(0))
+        starts, ends, doc = words_of(raw, off)
+        n = np.bincount(doc, minlength=part.num_rows) + 1
+        out = np.full(n.sum(), END)
+        out[np.arange(len(doc)) + doc] = word_hashes(raw, starts, ends, lower=True) >> U64(1)
+        hashes.append(out)
+        sizes.append(n)
+    return np.concatenate(hashes), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
 def merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,23 +169,22 @@ def from_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(step, dtype=U64), counts.astype(np.int64)
 
 
-def counted(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], bounds: np.ndarray, finish: Callable[[int, np.ndarray, np.ndarray], tuple[str, int, int]]) -> DataFrame:
+def counted(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], bounds: np.ndarray, finish: Callable[[int, np.ndarray, np.ndarray], tuple[str, int, int]], together: int = TOGETHER_BYTES[0]) -> DataFrame:
     """Counts keys_of all texts (one column), by range, and gives each range's merged keys and counts to finish: (range, path, first, n, total)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
-        for batch in batches:
-            for part in slices(batch):
-                k, c = np.unique(keys_of(part.column(0)), return_counts=True)
-                keys.append(k)
-                counts.append(c)
-                held += len(k)
-                if held > HELD_KEYS:
-                    k, c = merge(keys, counts)
-                    keys, counts, held = [k], [c], len(k)
-                    if held > HELD_KEYS // 2:  # a large part goes out in several blocks
-                        yield from blocks(k, c)
-                        keys, counts, held = [], [], 0
+        for part in gathered(batches, together):
+            k, c = np.unique(keys_of(part.column(0)), return_counts=True)
+            keys.append(k)
+            counts.append(c)
+            held += len(k)
+            if held > HELD_KEYS:
+                k, c = merge(keys, counts)
+                keys, counts, held = [k], [c], len(k)
+                if held > HELD_KEYS // 2:  # a large part goes out in several blocks
+                    yield from blocks(k, c)
+                    keys, counts, held = [], [], 0
         if keys:
             yield from blocks(*merge(keys, counts))
 
@@ -346,15 +356,14 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 1, F.lit(False))
 
 
-def bounds_of(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], n_keys: int) -> np.ndarray:
+def bounds_of(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], n_keys: int, together: int = TOGETHER_BYTES[0]) -> np.ndarray:
     """First keys of ranges of about RANGE_KEYS keys each, from SAMPLE_KEYS keys of each of the parts; results don't depend on them."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng, kept = np.random.default_rng(TaskContext.get().partitionId()), []
-        for batch in batches:
-            for part in slices(batch):
-                k = np.unique(keys_of(part.column(0)))
-                kept.append(rng.choice(k, min(len(k), 64), replace=False) if len(k) else k)
+        for part in gathered(batches, together):
+            k = np.unique(keys_of(part.column(0)))
+            kept.append(rng.choice(k, min(len(k), SAMPLE_KEYS), replace=False) if len(k) else k)
         k = np.concatenate(kept) if kept else np.zeros(0, U64)
         k = rng.choice(k, min(len(k), SAMPLE_KEYS), replace=False)
         yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64))], names=["k"])
@@ -430,8 +439,8 @@ def _followers(texts: DataFrame, model: Model, n_guess: int, folder: str) -> tup
         counts = None if third else np.searchsorted(m.counts, c).astype(np.uint8)
         return save(folder, f"{'triples' if third else 'pairs'}-{r}", Followers.encode(k, m.shift, codes, counts)), 0, len(k)
 
-    bounds = bounds_of(texts, keys, n_guess)
-    rows = {r["range"]: r for r in counted(texts, keys, bounds, file).collect()}
+    bounds = bounds_of(texts, keys, n_guess, model.together)
+    rows = {r["range"]: r for r in counted(texts, keys, bounds, file, model.together).collect()}
     shards, first = [], 0
     for r in range(len(bounds)):
         shards.append(Shard(rows[r]["path"], first, rows[r]["n"]) if r in rows else Shard("", first, 0))
@@ -439,6 +448,26 @@ def _followers(texts: DataFrame, model: Model, n_guess: int, folder: str) -> tup
     return tuple(shards), bounds
 
 
+def scored(m: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of score for batches of id, held_out and text."""
+    sizes = m.counts
+    for part in gathered(batches, m.together):
+        ids, counts, begin = tokens_known(m, part.column(2))
+        p1 = (counts + 0.5) / (m.n_tokens + 0.5 * (m.n_words + 1))
+        ranks, codes, pair_counts = found(m.pairs, m.pair_bounds, pair_keys(m, ids, begin), counted_too=True)
+        context = np.concatenate([[m.n_texts], counts[:-1]]).astype(np.float64)
+        context[begin[:-1]] = m.n_texts
+        p2 = np.where(codes >= 0, 10.0 ** (codes * -m.step), 0.0) + M / (context + M) * p1
+        codes = found(m.triples, m.triple_bounds, triple_keys(m, ids, ranks, begin))[1]
+        context = np.concatenate([[0.0], np.where(pair_counts >= 0, sizes[pair_counts], 0.0)[:-1]])
+        context[begin[:-1]] = 0.0  # nothing stands before the beginning
+        p = np.where(codes >= 0, 10.0 ** (codes * -m.step), 0.0) + M / (context + M) * p2
+        first = begin[:-1]
+        sums = [np.add.reduceat(x, first) for x in (np.log10(p1), np.log10(p))]
+        known = np.add.reduceat((counts > 0).astype(np.int64), first)
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(begin)), pa.array(known), pa.array(np.full(len(first), m.n_tokens)), *(pa.array(s) for s in sums)], names=[part.schema.names[0], "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: its id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -448,24 +477,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        sizes = m.counts
-        for batch in batches:
-            for part in slices(batch):
-                ids, counts, begin = tokens_known(m, part.column(2))
-                p1 = (counts + 0.5) / (m.n_tokens + 0.5 * (m.n_words + 1))
-                ranks, codes, pair_counts = found(m.pairs, m.pair_bounds, pair_keys(m, ids, begin), counted_too=True)
-                context = np.concatenate([[m.n_texts], counts[:-1]]).astype(np.float64)
-                context[begin[:-1]] = m.n_texts
-                p2 = np.where(codes >= 0, 10.0 ** (codes * -m.step), 0.0) + M / (context + M) * p1
-                codes = found(m.triples, m.triple_bounds, triple_keys(m, ids, ranks, begin))[1]
-                context = np.concatenate([[0.0], np.where(pair_counts >= 0, sizes[pair_counts], 0.0)[:-1]])
-                context[begin[:-1]] = 0.0  # nothing stands before the beginning
-                p = np.where(codes >= 0, 10.0 ** (codes * -m.step), 0.0) + M / (context + M) * p2
-                first = begin[:-1]
-                sums = [np.add.reduceat(x, first) for x in (np.log10(p1), np.log10(p))]
-                known = np.add.reduceat((counts > 0).astype(np.int64), first)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(begin)), pa.array(known), pa.array(np.full(len(first), m.n_tokens)), *(pa.array(s) for s in sums)], names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return scored(sent.value, batches)
 
     rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("_text"))
     return rows.mapInArrow(run, f"{id_col} {dict(docs.dtypes)[id_col]}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

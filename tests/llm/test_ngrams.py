@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from linkgraph.llm import eliasfano, ngrams
@@ -53,3 +54,20 @@ def test_no_training_documents(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     r = ngrams.score(df, ngrams.train(df.limit(0))).collect()[0]
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0)
+
+
+def test_shards_are_visited_once_for_many_batches(spark, monkeypatch):
+    """A visit of a shard costs much whatever the number of keys, so the work would grow with batches times shards."""
+    monkeypatch.setattr(ngrams, "RANGE_KEYS", 100)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.choice([0, 30]))) for _ in range(60)]
+    model = ngrams.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert len(model.triples) > 3
+    rows = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([False]), pa.array([t])], names=["doc_id", "held_out", "text"]) for i, t in enumerate(texts)]
+    visits, level = collections.Counter(), ngrams.level
+    monkeypatch.setattr(ngrams, "level", lambda path, kind: visits.update([path]) or level(path, kind))
+    got = pa.Table.from_batches(ngrams.scored(model, iter(rows)))
+    assert max(visits.values()) == 1
+    monkeypatch.setattr(ngrams, "TOGETHER_BYTES", (1, 1))  # each text alone
+    assert pa.Table.from_batches(ngrams.scored(model, iter(rows))).equals(got)
+    assert max(visits.values()) > 1
