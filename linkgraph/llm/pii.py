@@ -8,13 +8,20 @@ There are no labelled spans, so labels are made: spans that the base patterns ce
 written anew in the ways people write such data (an address spelt with "at" and "dot", a number without
 its plus or with other separators), in their own contexts; candidates that the patterns don't certify,
 and look-alikes put in their place (wrong check digits, too many digits, plain words), are negative.
+
+All documents are learnt from. Tasks describe their candidates and count equal descriptions; bounds, trees,
+calibration and thresholds need only sums over these counts. Few descriptions are summed by the driver,
+more by tasks, one pass for each level of a tree; sums are of whole numbers, so both give the same model.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,11 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import arrow_map
+from linkgraph.llm.common import arrow_map, cut, give_back, slices, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-#: The trees are fitted on the candidates of at most so many documents, those of smallest xxhash64(id).
-MAX_TRAIN = 4_000
+#: The driver sums so many different descriptions itself; more are summed by tasks, so many each.
+DRIVER_ROWS = 200_000
+#: A task hands on its counts when it holds so many descriptions.
+HELD_ROWS = 100_000
+#: Features of a description, and a bound of their values, which the generators' lengths set.
+FEATURES, VALUES = 27, 512
+BINS = 32
+#: Gradients are summed in these units, log odds of the calibration counted in those.
+UNIT, LOG_ODDS, MOST = 2.0**-24, 2.0**-8, 16
 # The base patterns.
 EMAIL_DOMAIN = r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -139,59 +153,126 @@ class Trees:
     def raw(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.start)
         for f, b, v in zip(self.feature, self.bound, self.leaf, strict=True):
-            node = np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
-                node = 2 * node + 1 + (x[np.arange(len(x)), f[node]] > b[node])
-            out += v[node - (2**self.depth - 1)]
+            out += v[self.node(x, f, b, self.depth) - (2**self.depth - 1)]
         return out
 
+    @staticmethod
+    def node(x: np.ndarray, feature: np.ndarray, bound: np.ndarray, depth: int) -> np.ndarray:
+        """Where each row gets to in so many steps from a tree's root."""
+        node, row = np.zeros(len(x), np.int64), np.arange(len(x))
+        for _ in range(depth):
+            node = 2 * node + 1 + (x[row, feature[node]] > bound[node])
+        return node
+
     def proba(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.raw(x) + self.shift, -30, 30)))
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, ridge: float = 1.0) -> Trees:
-    """Newton boosting of log loss; each split is the best of at most 32 bounds of each feature."""
-    rate_pos = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-    out = Trees(depth, start=float(np.log(rate_pos / (1 - rate_pos))))
-    bounds = [np.unique(np.quantile(c, np.linspace(0, 1, 33)[1:-1])) for c in x.T]
-    bins = np.stack([np.searchsorted(b, c) for b, c in zip(bounds, x.T, strict=True)], 1)
-    z = np.full(len(y), out.start)
+class Part:
+    """Descriptions, each with its label, whether it is held out of the fit, and how often it occurs."""
+
+    def __init__(self, keys: pa.Array, counts: pa.Array) -> None:
+        raw = np.frombuffer(b"".join(keys.to_pylist()), np.uint8).reshape(-1, 2 * FEATURES + 2)
+        self.x = np.ascontiguousarray(raw[:, :-2]).view(np.uint16).astype(np.int64)
+        self.y, self.held = raw[:, -2].astype(np.int64), raw[:, -1] > 0
+        self.n = counts.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.bins: list[np.ndarray] = []  # these and the log odds are of the rows of the fit
+        self.z, self.done = np.zeros(0), 0
+
+    @staticmethod
+    def key(x: list[float], y: int, held: bool) -> bytes:
+        return np.array(x, np.uint16).tobytes() + bytes([y, held])
+
+    def values(self) -> np.ndarray:
+        """How often each feature has each value among the rows of the fit; then counts of all rows with label 0 and 1, and of those of the fit."""
+        fit = ~self.held
+        of = [np.bincount(self.x[fit, c], self.n[fit], VALUES) for c in range(FEATURES)]
+        return np.concatenate([*of, np.bincount(self.y, self.n, 2), np.bincount(self.y[fit], self.n[fit], 2)]).astype(np.int64)
+
+    def gradients(self, trees: Trees, bounds: list[np.ndarray], feature: np.ndarray, bound: np.ndarray, level: int) -> np.ndarray:
+        """First and second derivatives of the loss, summed by node of a tree's level, feature and bin, in units."""
+        fit = np.flatnonzero(~self.held)
+        x, y, n = self.x[fit], self.y[fit], self.n[fit]
+        if not self.bins:
+            self.bins = [np.searchsorted(b, c) for b, c in zip(bounds, x.T, strict=True)]
+            self.z = np.full(len(x), trees.start)
+        for k in range(self.done, len(trees.leaf)):  # the sums of trees seen before are kept
+            self.z += trees.leaf[k][trees.node(x, trees.feature[k], trees.bound[k], trees.depth) - (2**trees.depth - 1)]
+        self.done = len(trees.leaf)
+        p = 1 / (1 + np.exp(-self.z))
+        node = (trees.node(x, feature, bound, level) - (2**level - 1)) * BINS
+        sums = [np.rint(v / UNIT) * n for v in (p - y, p * (1 - p))]
+        return np.array([[np.bincount(node + b, v, 2**level * BINS) for b in self.bins] for v in sums]).astype(np.int64).ravel()
+
+    def outcomes(self, trees: Trees) -> np.ndarray:
+        """Counts of the rows held out by kind, label and log odds."""
+        z = np.clip(np.rint(trees.raw(self.x[self.held]) / LOG_ODDS), -MOST / LOG_ODDS, MOST / LOG_ODDS).astype(np.int64)
+        n = int(2 * MOST / LOG_ODDS) + 1
+        at = (self.x[self.held, 0] * 2 + self.y[self.held]) * n + z + n // 2
+        return np.bincount(at, self.n[self.held], len(KINDS) * 2 * n).astype(np.int64)
+
+
+#: Adds up what a function makes of every part.
+Sums = Callable[[Callable[[Part], np.ndarray]], np.ndarray]
+
+
+def quantiles(counts: np.ndarray) -> np.ndarray:
+    """Different bounds that cut values with these counts into BINS bins."""
+    total = np.cumsum(counts)
+    at = np.linspace(0, 1, BINS + 1)[1:-1] * (total[-1] - 1)
+    below, above = (np.searchsorted(total, f(at), side="right") for f in (np.floor, np.ceil))
+    return np.unique(below + (above - below) * (at - np.floor(at)))
+
+
+def boost(sums: Sums, bounds: list[np.ndarray], positive: float, rounds: int = 60, depth: int = 3, rate: float = 0.2, ridge: float = 1.0) -> Trees:
+    """Newton boosting of log loss; each split is the best of at most 31 bounds of each feature. positive is the share of label 1."""
+    share = np.clip(positive, 1e-3, 1 - 1e-3)
+    out = Trees(depth, start=float(np.log(share / (1 - share))))
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-z))
-        g, h = p - y, p * (1 - p) + 1e-9
-        f, b = np.zeros(2**depth - 1, np.int64), np.full(2**depth - 1, np.inf)
-        node = np.zeros(len(y), np.int64)
-        for k in range(2**depth - 1):
-            rows = np.flatnonzero(node == k)
-            best = 1e-6
-            for c in range(x.shape[1]) if len(rows) > 1 else ():
-                n = len(bounds[c]) + 1
-                gs, hs = np.cumsum(np.bincount(bins[rows, c], g[rows], n)), np.cumsum(np.bincount(bins[rows, c], h[rows], n))
-                gain = gs**2 / (hs + ridge) + (gs[-1] - gs) ** 2 / (hs[-1] - hs + ridge) - gs[-1] ** 2 / (hs[-1] + ridge)
-                if n > 1 and gain[:-1].max() > best:
-                    best, f[k], b[k] = gain[:-1].max(), c, bounds[c][int(gain[:-1].argmax())]
-            node[rows] = 2 * k + 1 + (x[rows, f[k]] > b[k])
-        leaf = node - (2**depth - 1)
-        v = -rate * np.bincount(leaf, g, 2**depth) / (np.bincount(leaf, h, 2**depth) + ridge)
-        z += v[leaf]
+        f, b, v = np.zeros(2**depth - 1, np.int64), np.full(2**depth - 1, np.inf), np.zeros(2**depth)
+        for level in range(depth):
+            g, h = sums(lambda part, level=level, f=f, b=b: part.gradients(out, bounds, f, b, level)).reshape(2, FEATURES, 2**level, BINS) * UNIT
+            gs, hs = np.cumsum(g, 2), np.cumsum(h, 2)
+            for k in range(2**level):
+                best, at, cell = 1e-6, 2**level - 1 + k, BINS - 1
+                for c in range(FEATURES):
+                    n = len(bounds[c])
+                    left, weight, every, whole = gs[c, k, :n], hs[c, k, :n], gs[c, k, -1], hs[c, k, -1]
+                    gain = left**2 / (weight + ridge) + (every - left) ** 2 / (whole - weight + ridge) - every**2 / (whole + ridge)
+                    if n and gain.max() > best:
+                        best, f[at], cell = gain.max(), c, int(gain.argmax())
+                        b[at] = bounds[c][cell]
+                if level == depth - 1:
+                    left, weight, every, whole = gs[f[at], k, cell], hs[f[at], k, cell], gs[f[at], k, -1], hs[f[at], k, -1]
+                    v[2 * k : 2 * k + 2] = -rate * left / (weight + ridge), -rate * (every - left) / (whole - weight + ridge)
         out.feature.append(f)
         out.bound.append(b)
         out.leaf.append(v)
     return out
 
 
-def calibrate(trees: Trees, x: np.ndarray, y: np.ndarray) -> None:
-    """Platt's scaling on rows that the trees haven't seen."""
-    if len({*y.tolist()}) < 2:
+def calibrate(trees: Trees, z: np.ndarray, n: np.ndarray) -> None:
+    """Platt's scaling on rows that the trees haven't seen: n has their counts by label and log odds z."""
+    no, yes = n.sum(1).tolist()
+    if not no or not yes:
         return
-    z, a, b = trees.raw(x), 1.0, 0.0
-    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    target = np.array([1 / (no + 2), (yes + 1) / (yes + 2)])[:, None]
+
+    def loss(a: float, b: float) -> float:
+        return float((n * (np.logaddexp(0, a * z + b) - target * (a * z + b))).sum())
+
+    a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        w = p * (1 - p) + 1e-6
-        grad = np.array([((p - target) * z).sum(), (p - target).sum()])
+        off = (n * (p - target)).sum(0)
+        w = n.sum(0) * (p * (1 - p) + 1e-6)
+        grad = np.array([(off * z).sum(), off.sum()])
         hess = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
-        step = np.linalg.solve(hess, grad)
+        step, now = np.linalg.solve(hess, grad), loss(a, b)
+        while abs(step).max() > 1e-9 and loss(a - step[0], b - step[1]) > now:  # where p is near 0 or 1, Newton's step is too long
+            step /= 2
+        if abs(step).max() <= 1e-9:
+            break
         a, b = a - step[0], b - step[1]
     trees.slope, trees.shift = float(a), float(b)
 
@@ -254,36 +335,78 @@ class Model:
         return base, sorted([*base, *chosen], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def fit(rows: list[tuple[list[float], int, str]], precision: float = 0.98, seed: int = 5) -> Model:
+def fit(sums: Sums, precision: float = 0.98, rounds: int = 60) -> Model:
     """Trees of four fifths of the rows; calibration, and thresholds of at least that precision by kind, from the rest."""
-    y = np.array([r[1] for r in rows])
-    if len(rows) < 50 or y.min() == y.max():
+    got = sums(Part.values)
+    no, yes, fit_no, fit_yes = got[-4:].tolist()
+    if no + yes < 50 or not no or not yes or not fit_no + fit_yes:
         return Model(None, {})
-    x, kinds = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
-    held = np.random.default_rng(seed).random(len(rows)) < 0.2
-    trees = boost(x[~held], y[~held])
-    calibrate(trees, x[held], y[held])
-    p = trees.proba(x)
+    bounds = [quantiles(c) for c in got[:-4].reshape(FEATURES, VALUES)]
+    trees = boost(sums, bounds, fit_yes / (fit_no + fit_yes), rounds)
+    n = sums(lambda part: part.outcomes(trees)).reshape(len(KINDS), 2, -1)
+    z = (np.arange(n.shape[2]) - n.shape[2] // 2) * LOG_ODDS
+    calibrate(trees, z, n.sum(0))
+    p = 1 / (1 + np.exp(-np.clip(trees.slope * z + trees.shift, -30, 30)))
     thresholds = {}
-    for kind in KINDS:
-        of = held & (kinds == kind)
-        right = [t for t in np.arange(0.5, 1.0, 0.01) if y[of & (p >= t)].sum() >= max(1, precision * (of & (p >= t)).sum())]
-        thresholds[kind] = float(max(right[0], 0.8)) if right else 2.0  # no span of a kind that never gets precise
+    for kind, (wrong, right) in zip(KINDS, n, strict=True):
+        good = [t for t in np.arange(0.5, 1.0, 0.01) if right[p >= t].sum() >= max(1, precision * (right + wrong)[p >= t].sum())]
+        thresholds[kind] = float(max(good[0], 0.8)) if good else 2.0  # no span of a kind that never gets precise
     return Model(trees, thresholds)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> Model:
-    """The model from at most max_train documents; the driver gets described candidates, not texts."""
-    ids = docs.select(F.col(id_col).alias("_id")).na.drop().distinct().orderBy(F.xxhash64("_id"), "_id").limit(max_train)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(ids), "_id").select(F.xxhash64("_id").alias("_h"), "_text")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [(h, e) for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t for e in examples(t, random.Random(h))]
-        return pa.RecordBatch.from_arrays([pa.array([h for h, _ in out], pa.int64()), pa.array([e[0] for _, e in out], pa.list_(pa.float64())), pa.array([e[1] for _, e in out], pa.int32()), pa.array([e[2] for _, e in out], pa.string())], names=["h", "x", "y", "kind"])
-
-    got = arrow_map(texts, run, "h long, x array<double>, y int, kind string").toArrow().to_pylist()
-    got.sort(key=lambda r: (r["h"], r["kind"], r["y"], r["x"]))
-    return fit([(r["x"], r["y"], r["kind"]) for r in got])
+def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The different descriptions of all documents' candidates and how often each occurs: (key, n). Documents whose hash is divisible by five are held out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[bytes] = Counter()
+        for batch in batches:
+            for part in slices(batch):
+                for h, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if t:
+                        seen.update(Part.key(x, y, h % 5 == 0) for x, y, _ in examples(t, random.Random(h)))
+                if len(seen) > HELD_ROWS:
+                    yield block(seen)
+                    seen.clear()
+            give_back()
+        if seen:
+            yield block(seen)
+
+    def block(seen: Counter[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["key", "n"])
+
+    small_batches(docs.sparkSession)
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).select(F.xxhash64("_id", "_text").alias("_h"), "_text")
+    return texts.mapInArrow(run, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def summed(rows: DataFrame) -> Sums:
+    """Adds up over all descriptions: in the driver if they are few, else in tasks."""
+    n = rows.count()
+    if n <= DRIVER_ROWS:
+        got = rows.toArrow()
+        part = Part(got["key"].combine_chunks(), got["n"].combine_chunks())
+        return lambda f: f(part)
+    parts = rows.coalesce(math.ceil(n / max(1, DRIVER_ROWS)))
+
+    def spread(f: Callable[[Part], np.ndarray]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = list(batches)
+            if sum(b.num_rows for b in held):
+                got = pa.Table.from_batches(held)
+                yield pa.RecordBatch.from_arrays([pa.array([f(Part(got["key"].combine_chunks(), got["n"].combine_chunks()))], pa.list_(pa.int64()))], names=["sums"])
+
+        total = None
+        for row in parts.mapInArrow(run, "sums array<long>").toArrow()["sums"]:
+            own = row.values.to_numpy()
+            total = own if total is None else total + own
+        return total
+
+    return spread
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """The model of all documents; the driver gets counted descriptions or sums over them, not texts."""
+    return fit(summed(cut(described(docs, id_col, text_col))))
 
 
 def joined(spans: list[Span]) -> str:

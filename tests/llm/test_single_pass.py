@@ -143,6 +143,38 @@ def test_trees_add_spans_and_keep_base_ones(spark):
     assert out == {900: None, 901: "", 902: "[EMAIL] and [EMAIL]"}
 
 
+def test_all_documents_are_learnt_from(spark):
+    """Personal data in 60 of 40,060 documents: of the 4,000 that were learnt from before, too few had any."""
+    assert pii.train(frame(spark, [(1000 + k, "plain words") for k in range(40_000)] + pii_corpus()[:60])).trees is not None
+
+
+def test_sums_of_tasks_give_the_model_of_the_driver(spark, monkeypatch):
+    rows = pii.cut(pii.described(frame(spark, pii_corpus() + [(None, "mail ab@cd.ef")]).repartition(3)))
+    assert rows.agg({"n": "sum"}).first()[0] > rows.count() >= 50
+    monkeypatch.setattr(pii, "DRIVER_ROWS", 10**6)
+    own = pii.fit(pii.summed(rows), rounds=3)
+    monkeypatch.setattr(pii, "DRIVER_ROWS", rows.count() // 3)
+    other = pii.fit(pii.summed(rows), rounds=3)
+    assert own.thresholds == other.thresholds and (own.trees.slope, own.trees.shift) == (other.trees.slope, other.trees.shift)
+    for a, b in ((own.trees.feature, other.trees.feature), (own.trees.bound, other.trees.bound), (own.trees.leaf, other.trees.leaf)):
+        assert np.array_equal(a, b)
+
+
+def test_bounds_are_quantiles():
+    rng = np.random.default_rng(1)
+    for top in (2, 9, 400):
+        x = rng.integers(0, top, 1000)
+        assert np.allclose(pii.quantiles(np.bincount(x, minlength=pii.VALUES)), np.unique(np.quantile(x, np.linspace(0, 1, 33)[1:-1])))
+
+
+def test_calibration_of_rows_that_are_told_apart():
+    """Newton's steps alone went astray where the trees are sure and right."""
+    z = np.array([-7.0, -5.0, 4.0, 7.0])
+    trees = pii.Trees(1)
+    pii.calibrate(trees, z, np.array([[50, 9, 0, 0], [0, 0, 2, 57]]))
+    assert 0 < trees.slope < 2 and abs(trees.shift) < 1
+
+
 def test_nothing_to_learn_from(spark):
     model = pii.train(frame(spark, [(1, "plain words"), (2, None)]))
     assert model.trees is None and model.spans("ab@cd.ef")[1] == [("email", 0, 8)]
